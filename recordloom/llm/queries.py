@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, fingerprint, hosts, quality
+from . import chat, fingerprint, hosts, licences, main_text, quality
 from .ngram_join import ngram_jaccard_join
 
 
@@ -32,6 +32,17 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licences.scan(_read(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["base"])
+    joined = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")
+    named = F.flatten(F.transform(F.filter("expressions", lambda e: e["valid"]), lambda e: e["licences"]))
+    return out.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(F.transform(base, lambda p: p["word"])).alias("first_word"), F.array_max(F.transform(base, lambda p: p["word"])).alias("last_word"),
+        joined(F.transform(base, lambda p: p["label"])).alias("base_labels"), joined(F.concat(F.transform("places", lambda p: p["label"]), F.transform(named, lambda n: F.replace(n, F.lit(","), F.lit(" "))))).alias("labels"), "score",
+    )
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -49,6 +60,10 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_read(spark, sf_dir, "documents"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_pages(_read(spark, sf_dir, "pages"), _read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
