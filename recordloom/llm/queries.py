@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, fingerprint, hosts, licences, main_text, quality
+from . import chat, fingerprint, hosts, licences, line_dedup, main_text, mixing, quality
 from .ngram_join import ngram_jaccard_join
 
 
@@ -32,6 +32,29 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"),
+        F.length("kept_text").cast("long").alias("kept_chars"), F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
+
+
+#: The tree's upper level and its weights, and the mixture's size. (fixed values)
+WEIGHTS = {"domain": {"web": 6, "reference": 4}, "lang": {"en": 6, "de": 2, "fr": 2, "es": 1}}
+SHARE, EPOCHS = 0.8, 2
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """Sources numbered below ten are the web, the others reference works."""
+    return docs.withColumn("domain", F.when(F.substring("source", 4, 9).try_cast("int") < 10, "web").otherwise("reference"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(_read(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+    return mixing.mix(docs, WEIGHTS, F.col("total") * SHARE, EPOCHS).select("doc_id", "domain", "lang", "source", "tokens", "epoch")
+
+
 def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = licences.scan(_read(spark, sf_dir, "documents"))
     base = F.filter("places", lambda p: p["base"])
