@@ -7,8 +7,9 @@
    of their first ``n - least overlap + k`` n-grams. An index of those prefixes
    tells how many of them occur in a single class; a representative with too
    few shared ones can have no partner and leaves.
-3. Among the rest, n-grams of many classes are moved to the end of the order, and
-   the plain prefix principle (one shared n-gram) links documents into families.
+3. The rest's n-grams are ordered by how many classes have them, the rarest first.
+   The plain prefix principle (one shared n-gram) links documents into families;
+   passages that many documents share come last and hardly ever link.
 4. A family is walked in one task when it is small, else in pairs of blocks of
    bounded size. Its sets are stored in a compressed trie; a probe adds up the
    overlap along shared paths, prunes subtrees by the lengths that can still
@@ -34,8 +35,6 @@ from ._words import SPACES, U64, hashes, lower_table, mix, slices, spans, table,
 BLOCK, GRAMS = 2000, 1_500_000
 #: Prefixes are longer than the plain principle asks by a set's size over this.
 SLACK = 10
-#: n-grams found in more classes than this come last in the global order.
-COMMON = 32
 #: Longest stretch of one trie edge, so that pruning comes in time.
 EDGE = 64
 
@@ -248,7 +247,7 @@ def _walk(width: int, num: int, den: int):
     return run
 
 
-def ngram_jaccard_join(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5, block: int = BLOCK, grams_in_block: int = GRAMS, common: int = COMMON) -> DataFrame:
+def ngram_jaccard_join(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5, block: int = BLOCK, grams_in_block: int = GRAMS) -> DataFrame:
     """One row per input row: doc_id, n_shingles, representative (smallest doc_id with the same set), component_id.
 
     Words are what ASCII white space leaves after lower-casing A-Z; similar means
@@ -256,8 +255,8 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, num: int = 4, den: int =
     link with nothing; a text of fewer than ``width`` words is one n-gram. Rows
     with one doc_id are one node. A null doc_id names no node: its row comes back
     with its size and null ids, and links nothing. Other columns are ignored. An
-    empty table gives an empty result. ``block``, ``grams_in_block`` and
-    ``common`` bound a task's memory and steer the order; no value changes a result.
+    empty table gives an empty result. ``block`` and ``grams_in_block``
+    bound a task's memory; no value changes a result.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -274,49 +273,45 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, num: int = 4, den: int =
 
         # the prefix index: how many n-grams of each prefix stand in one row only
         alone = (
-            named.select("doc_id", F.explode("head").alias("gram"))
-            .groupBy("gram").agg(F.count("*").alias("c"), F.min("doc_id").alias("doc_id"))
-            .where("c = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
+            named.select("doc_id", "s1", F.explode("head").alias("gram"))
+            .groupBy("gram").agg(F.count("*").alias("c"), F.min("doc_id").alias("doc_id"), F.min("s1").alias("s1"))
+            .where("c = 1").groupBy("doc_id", "s1").agg(F.count("*").alias("alone"))
         )
         kept = stash.save(
-            reps.select(F.col("rep").alias("doc_id"), "s1", "s2", "n").join(alone, "doc_id", "left")
+            reps.select(F.col("rep").alias("doc_id"), "s1", "s2", "n").join(alone, ["doc_id", "s1"], "left")
             .where(f"{head_size} - coalesce(alone, 0) >= {in_both}").select("doc_id", "s1", "s2", "n").distinct(),
             "kept",
         )
         stash.drop("heads")
         texts = stash.save(docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
 
-        # among those left, n-grams of many classes come last in the order; the others keep the order of their hashes
         def run(batches):
             for batch in batches:
                 keys = batch.column(0)
                 for k in range(0, len(keys), 500):
                     yield pa.RecordBatch.from_arrays([keys[k : k + 500], _lists(list(_sets(batch.column(1)[k : k + 500], width)))], names=["doc_id", "grams"])
 
-        sets = texts.mapInArrow(run, "doc_id long, grams array<long>").where("size(grams) > 0").withColumn("n", F.size("grams").cast("long"))
-        grams = sets.selectExpr("doc_id", "n", f"posexplode(slice(grams, 1, CAST({head_size} AS INT))) AS (pos, gram)")
+        def sets(t: DataFrame) -> DataFrame:
+            return t.mapInArrow(run, "doc_id long, grams array<long>").where("size(grams) > 0").withColumn("n", F.size("grams").cast("long"))
+
+        # the same test among those left, now between classes
+        grams = sets(texts).selectExpr("doc_id", "n", f"explode(slice(grams, 1, CAST({head_size} AS INT))) AS gram")
+        often = grams.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
+        near = stash.save(grams.join(often, "gram").groupBy("doc_id", "n").agg(F.count("*").alias("c")).where(f"c >= {in_both}").select("doc_id").distinct(), "near")
+        # the rest's n-grams in their final order, the rarest first: a set's first n - need + 1 are its prefix
+        grams = sets(texts.join(near, "doc_id", "left_semi")).select("doc_id", "n", F.explode("grams").alias("gram"))
         often = grams.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
-        shared = (
-            grams.join(often, "gram").groupBy("doc_id", "n")
-            .agg(F.collect_list(F.struct("pos", "gram", "c")).alias("g"))
-            .where(f"size(g) >= {in_both}")
-            .withColumn("hot", F.expr(f"transform(filter(g, x -> x.c > {common}), x -> x.pos)"))
-            .withColumn("plain", F.expr(f"array_except(sequence(0, CAST({head_size} AS INT) - 1), hot)"))
-            .withColumn("whole", F.expr(f"size(plain) >= n - {need} + 1"))
-            .withColumn("last", F.expr(f"try_element_at(plain, CAST(n - {need} + 1 AS INT))"))
-            .select("doc_id", "n", "whole", F.expr(f"transform(filter(g, x -> x.c <= {common} AND x.pos <= last), x -> x.gram)").alias("grams"))
-        )
-        shared = stash.save(shared, "shared")
-        # a document with too few plain n-grams in its head offers all its n-grams: a superset of its true prefix
-        full = texts.join(shared.where("NOT whole").select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(run, "doc_id long, grams array<long>")
-        offered = stash.save(
-            shared.where("whole").select("doc_id", F.explode("grams").alias("gram")).union(full.select("doc_id", F.explode("grams").alias("gram"))), "offered"
+        offered = (
+            grams.join(often, "gram").groupBy("doc_id", "n").agg(F.collect_list(F.struct("c", "gram")).alias("g"))
+            .selectExpr("doc_id", "n", f"n - {need} + 1 - (n - size(g)) AS room", "g").where("room > 0")
+            .selectExpr("doc_id", "n", "explode(transform(slice(sort_array(g), 1, CAST(room AS INT)), x -> x.gram)) AS gram")
         )
+        offered = stash.save(offered, "offered")
         leaders = offered.groupBy("gram").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top")).where("b < top").select("gram", "b")
         family = components(offered.join(leaders, "gram").select(F.col("doc_id").alias("a"), "b").distinct())
 
         # tasks: a whole family, or each pair of its blocks
-        weight = shared.groupBy(F.col("doc_id").alias("node")).agg(F.max("n").alias("n"))
+        weight = offered.groupBy(F.col("doc_id").alias("node")).agg(F.max("n").alias("n"))
         sizes = (
             family.join(weight, "node").groupBy("component").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
             .withColumn("blocks", F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("weight") / grams_in_block)).cast("int"))
