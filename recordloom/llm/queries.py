@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, fingerprint, hosts, licences, line_dedup, main_text, mixing, quality
+from . import chat, decontaminate, fingerprint, hosts, licences, line_dedup, main_text, mixing, quality
 from .ngram_join import ngram_jaccard_join
 
 
@@ -87,6 +87,10 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract_pages(_read(spark, sf_dir, "pages"), _read(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
