@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import text
+from . import catalogue, text
 
-FAMILIES = [text]
+FAMILIES = [text, catalogue]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: q for family in FAMILIES for name, q in family.QUERIES.items()}
+    return {name: q for family in FAMILIES for name, q in family.FAMILY.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for family in FAMILIES for name, sql in family.ORACLES.items()}
+    return {name: sql for family in FAMILIES for name, sql in family.FAMILY.ORACLES.items()}
