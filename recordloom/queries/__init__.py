@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import catalogue, text
+from . import catalogue, tables, text
 
-FAMILIES = [text, catalogue]
+FAMILIES = [text, catalogue, tables]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
