@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import catalogue, tables, text
+from . import catalogue, records, tables, text
 
-FAMILIES = [text, catalogue, tables]
+FAMILIES = [text, catalogue, tables, records]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
