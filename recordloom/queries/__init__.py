@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import catalogue, records, tables, text
+from . import catalogue, checks, records, tables, text
 
-FAMILIES = [text, catalogue, tables, records]
+FAMILIES = [text, catalogue, tables, records, checks]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
