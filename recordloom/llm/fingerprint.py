@@ -34,6 +34,11 @@ def _groups(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"[^ \n]+(?: +[^ \n]+){{0,{GROUP - 1}}}"), F.lit(0))
 
 
+def _seeded(k: int):
+    """A one-argument function: a default argument would be taken for the element's index."""
+    return lambda g: F.xxhash64(g, F.lit(k))
+
+
 def _total(values: Column, of) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda acc, x: acc + of(x))
 
@@ -55,7 +60,7 @@ def add_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     two = F.lit((1 << 32) + 1)
     hashed = f"__{name}_hashes"
     out = df.withColumn(f"__{name}_raw", fingerprint(F.col(text)))
-    out = out.withColumn(hashed, F.array(*[F.transform(F.col(f"__{name}_raw")["groups"], lambda g, k=k: F.xxhash64(g, F.lit(k))) for k in (0, 1)]))
+    out = out.withColumn(hashed, F.array(*[F.transform(F.col(f"__{name}_raw")["groups"], _seeded(k)) for k in (0, 1)]))
     like = [_total(F.col(hashed)[k], lambda h, s=s: F.shiftrightunsigned(h, s).bitwiseAND(two)) for k in (0, 1) for s in range(PAIRS // 2)]
     return out.withColumn(name, F.struct(F.col(f"__{name}_raw")["exact"].alias("exact"), F.size(F.col(hashed)[0]).cast("long").alias("n"), F.array(*like).alias("like"))).drop(f"__{name}_raw", hashed)
 
