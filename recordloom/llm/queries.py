@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, fingerprint, hosts, licences, line_dedup, main_text, mixing, quality
+from . import chat, decontaminate, fingerprint, hosts, licences, line_dedup, main_text, mixing, oracles, quality
 from .ngram_join import ngram_jaccard_join
 
 
@@ -96,4 +96,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_chat_format": oracles.OP1, "op3_mixing": oracles.mixing(WEIGHTS, SHARE, EPOCHS)}
