@@ -283,7 +283,7 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, num: int = 4, den: int =
             "kept",
         )
         stash.drop("heads")
-        texts = stash.save(docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+        texts = stash.save(docs.join(kept.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"), "texts")
 
         def run(batches):
             for batch in batches:
@@ -299,7 +299,7 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, num: int = 4, den: int =
         often = grams.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
         near = stash.save(grams.join(often, "gram").groupBy("doc_id", "n").agg(F.count("*").alias("c")).where(f"c >= {in_both}").select("doc_id").distinct(), "near")
         # the rest's n-grams in their final order, the rarest first: a set's first n - need + 1 are its prefix
-        grams = sets(texts.join(near, "doc_id", "left_semi")).select("doc_id", "n", F.explode("grams").alias("gram"))
+        grams = sets(texts.join(near.hint("merge"), "doc_id", "left_semi")).select("doc_id", "n", F.explode("grams").alias("gram"))
         often = grams.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
         offered = (
             grams.join(often, "gram").groupBy("doc_id", "n").agg(F.collect_list(F.struct("c", "gram")).alias("g"))
