@@ -10,7 +10,7 @@ from .closure import closure, cycles
 
 def undeclared_and_missing(keys: DataFrame, declared: DataFrame, required: DataFrame, owner: str) -> DataFrame:
     """(owner, key) against (key) -> owner, key, code: undeclared, or missing for an owner without a required key."""
-    extra = keys.join(F.broadcast(declared.select("key")), "key", "left_anti").select(owner, "key", F.lit("undeclared").alias("code"))
+    extra = keys.join(declared.select("key"), "key", "left_anti").select(owner, "key", F.lit("undeclared").alias("code"))
     wanted = keys.select(owner).distinct().join(F.broadcast(required.select("key")))
     return extra.union(wanted.join(keys, [owner, "key"], "left_anti").select(owner, "key", F.lit("missing")))
 
@@ -34,7 +34,7 @@ def scalar(kind: Column, declared: Column, value: Column, minimum: Column | None
 def vocabulary(values: DataFrame, terms: DataFrame, closed: Column) -> DataFrame:
     """(value) -> adds code: ok, unstated, off_vocabulary with severity error (closed) or warning (open)."""
     known = terms.select(F.col("term").alias("value"), F.lit(True).alias("__known"))
-    out = values.join(F.broadcast(known), "value", "left")
+    out = values.join(known, "value", "left")
     out = out.withColumn("code", F.when(F.col("value") == "unstated", "unstated").when(F.col("__known"), "ok").otherwise("off_vocabulary"))
     return out.withColumn("severity", F.when(F.col("code") == "unstated", "error").when(F.col("code") == "ok", "none").when(closed, "error").otherwise("warning")).drop("__known")
 

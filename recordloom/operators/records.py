@@ -61,7 +61,7 @@ def wrappers(records: DataFrame) -> DataFrame:
 def apply_aliases(edges: DataFrame, aliases: DataFrame, target: str = "target_id") -> DataFrame:
     """References renamed by (alias, target) pairs; adds rewritten."""
     a = aliases.select(F.col("alias").alias(target), F.col("target").alias("__to"))
-    return edges.join(F.broadcast(a), target, "left").withColumn("rewritten", F.col("__to").isNotNull()).withColumn(target, F.coalesce("__to", target)).drop("__to")
+    return edges.join(a, target, "left").withColumn("rewritten", F.col("__to").isNotNull()).withColumn(target, F.coalesce("__to", target)).drop("__to")
 
 
 def repair_wrapper(status: Column, value: Column, source: Column) -> Column:
@@ -73,7 +73,7 @@ def repair_wrapper(status: Column, value: Column, source: Column) -> Column:
 
 def fill_from_lookup(rows: DataFrame, lookup: DataFrame, key: str, value: str) -> DataFrame:
     """Empty values taken from (key, found); adds derived."""
-    out = rows.join(F.broadcast(lookup), key, "left").withColumn("derived", F.col(value).isNull() & F.col("found").isNotNull())
+    out = rows.join(lookup, key, "left").withColumn("derived", F.col(value).isNull() & F.col("found").isNotNull())
     return out.withColumn(value, F.coalesce(value, "found")).drop("found")
 
 

@@ -47,16 +47,31 @@ def find_exact(docs: DataFrame, quotes: DataFrame, limit: int = BROADCAST_CHARS)
 
 
 def by_anchor(docs: DataFrame, quotes: DataFrame, form) -> DataFrame:
-    """Pairs whose (formed) texts share the quote's tokens 2 to 5; shorter quotes are paired by their rarest token's text."""
+    """Pairs of documents and quotes that may match once formed: those that share the quote's anchor.
+
+    Inner tokens of a quote are whole tokens of any text that holds it. Six tokens or
+    more: tokens 2 to 5 as one 4-gram; three to five: the longest inner token. Shorter
+    quotes have no whole token; they are searched for directly, in blocks of bounded
+    size.
+    """
     tokens = lambda c: F.filter(F.split(form(F.col(c)), r"(?U)\s+"), lambda t: t != "")
-    q = quotes.withColumn("t", tokens("quote"))
-    long, short = q.where(F.size("t") >= 6), q.where(F.size("t") < 6).drop("t")
+    q, d = quotes.withColumn("t", tokens("quote")), docs.select("doc_id", tokens("text").alias("t"))
+    long, middle, short = q.where("size(t) >= 6"), q.where("size(t) BETWEEN 3 AND 5"), q.where("size(t) < 3").drop("t")
     long = long.withColumn("gram", F.array_join(F.slice("t", 2, 4), " ")).drop("t")
-    d = docs.withColumn("t", tokens("text"))
+    inner = F.array_sort(F.transform(F.slice(F.col("t"), F.lit(2), F.size("t") - 2), lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t"))))
+    middle = middle.withColumn("gram", inner[0]["t"]).drop("t")
     grams = d.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("t") - 3, F.lit(1))), lambda k: F.array_join(F.slice("t", k, 4), " ")))).alias("gram"))
     hits = grams.join(long, "gram").drop("gram").distinct()
+    if not middle.isEmpty():
+        hits = hits.unionByName(d.select("doc_id", F.explode(F.array_distinct("t")).alias("gram")).join(middle, "gram").drop("gram").distinct())
     pairs = docs.join(hits, "doc_id")
-    return pairs.unionByName(docs.join(F.broadcast(short), F.contains(form(F.col("text")), F.regexp_extract(form(F.col("quote")), r"(?U)^\s*(\S+)", 1))).select(*pairs.columns))
+    chars = short.agg(F.sum(F.length("quote"))).first()[0] or 0
+    blocks = -(-chars // BROADCAST_CHARS)
+    for k in range(blocks):
+        part = short.where(F.pmod(F.xxhash64("quote"), F.lit(blocks)) == k)
+        first = F.regexp_extract(form(F.col("quote")), r"(?U)^\s*(\S+)", 1)
+        pairs = pairs.unionByName(_spread(docs).join(F.broadcast(part), F.contains(form(F.col("text")), first)).select(*pairs.columns))
+    return pairs
 
 
 def resolve(pairs: DataFrame, near: str | None = None) -> DataFrame:

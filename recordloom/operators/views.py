@@ -78,7 +78,7 @@ def unwrap(status: Column, value: Column) -> Column:
 def normalize_free_text(rows: DataFrame, table: DataFrame, field: str) -> DataFrame:
     """A field's values by (raw, normal), compared folded; unmatched values stay. Adds normalized."""
     t = table.select(F.lower(F.trim("raw")).alias("__k"), "normal")
-    out = rows.withColumn("__k", F.lower(F.trim(F.col(field)))).join(F.broadcast(t), "__k", "left")
+    out = rows.withColumn("__k", F.lower(F.trim(F.col(field)))).join(t, "__k", "left")
     return out.withColumn("normalized", F.coalesce("normal", field)).drop("__k", "normal")
 
 

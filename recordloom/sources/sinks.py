@@ -32,3 +32,17 @@ def output_states(expected: DataFrame, present: DataFrame) -> DataFrame:
 def unfinished(todo: DataFrame, done: DataFrame, key: str, redo: bool = False) -> DataFrame:
     """What still has to be done; everything with redo."""
     return todo if redo else todo.join(done.select(key).distinct(), key, "left_anti")
+
+
+def write_once(df: DataFrame, path: str, key: str, redo: bool = False) -> None:
+    """A snapshot kept once: appends the rows whose key the table lacks; with redo it is written anew."""
+    if redo:
+        df.write.mode("overwrite").parquet(path)
+        return
+    try:
+        done = df.sparkSession.read.parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        done = df.limit(0)
+    unfinished(df, done, key).write.mode("append").parquet(path)

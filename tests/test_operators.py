@@ -58,7 +58,7 @@ def test_nearest(spark):
 def test_anchor_join_equals_broadcast(spark):
     words = "the quick brown fox jumps over a lazy dog today".split()
     docs = spark.createDataFrame([(i, " ".join(words[i:] + words[:i])) for i in range(10)], "doc_id long, text string")
-    quotes = spark.createDataFrame([(1, "quick brown fox jumps over a lazy"), (2, "dog today the"), (3, "not there at all my good friend"), (4, "ox")], "item_id long, quote string")
+    quotes = spark.createDataFrame([(1, "quick brown fox jumps over a lazy"), (2, "dog today the"), (3, "not there at all my good friend"), (4, "ox"), (5, "a lazy dog today"), (6, "brown")], "item_id long, quote string")
     rows = lambda d: sorted(map(tuple, d.collect()))
     assert rows(spans.find_exact(docs, quotes)) == rows(spans.find_exact(docs, quotes, limit=0))
 
@@ -220,6 +220,9 @@ def test_readers(spark, tmp_path):
 def test_sinks_and_stream(spark, tmp_path):
     df = spark.createDataFrame([(1, "é"), (2, "b")], "id long, v string")
     sinks.write_checked(df, str(tmp_path / "c"))
+    for _ in range(2):
+        sinks.write_once(df, str(tmp_path / "once"), "id")
+    assert spark.read.parquet(str(tmp_path / "once")).count() == 2
     sinks.write_records(df, str(tmp_path / "r"))
     assert {r.value for r in spark.read.text(str(tmp_path / "r")).collect()} == {'{"id":1,"v":"é"}', '{"id":2,"v":"b"}'}
     sinks.write_provenance(spark.createDataFrame([(1, "t", "no")], "doc_id long, text string, declared string"), str(tmp_path / "p"))
