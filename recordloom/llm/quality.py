@@ -79,22 +79,25 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = 5, rate: float
     y = np.array(labels, np.int64)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(1 << BITS, np.float32), 4.0 * (float(y.mean()) * 2 - 1) if len(y) else 0.0)
-    rows = []
+    ids, share, at = [], [], [0]
     for text in texts:
-        data, at = utf8(pa.array([text], pa.string()))
-        flat = np.concatenate([b for b, _ in _buckets(data, at)])
-        ids, n = np.unique(flat, return_counts=True)
-        rows.append((ids, (n / max(1, len(flat))).astype(np.float32)))
+        data, ends = utf8(pa.array([text], pa.string()))
+        flat = np.concatenate([b for b, _ in _buckets(data, ends)])
+        own, n = np.unique(flat, return_counts=True)
+        ids.append(own.astype(np.int32))
+        share.append((n / max(1, len(flat))).astype(np.float32))
+        at.append(at[-1] + len(own))
+    ids, share = np.concatenate(ids), np.concatenate(share)  # two arrays for all rows: the driver's memory is given back as a whole
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, 2), np.float32), np.log(np.bincount(y, minlength=2) / len(y)).astype(np.float32)
-    steps, step = epochs * len(rows), 0
+    steps, step = epochs * len(y), 0
     for _ in range(epochs):
-        for i in rng.permutation(len(rows)):
+        for i in rng.permutation(len(y)):
             lr = rate * (1 - step / steps)
             step += 1
-            ids, share = rows[i]
-            mean = share @ vectors[ids]
+            mine, part = ids[at[i] : at[i + 1]], share[at[i] : at[i + 1]]
+            mean = part @ vectors[mine]
             logit = mean @ out + bias
             p = np.exp(logit - logit.max())
             p /= p.sum()
@@ -102,7 +105,7 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = 5, rate: float
             back = out @ p
             out -= 0.05 * lr * np.outer(mean, p)
             bias -= 0.001 * lr * p
-            vectors[ids] -= lr * share[:, None] * back
+            vectors[mine] -= lr * part[:, None] * back
     return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
@@ -116,8 +119,18 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_cha
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> Model:
-    rows = sample(docs, labels, max_rows, max_chars).collect()  # at most max_rows
-    return fit([r.text for r in rows], [r.quality for r in rows])
+    """Fits on the sample in one task, which spares the driver the features; only the folded model comes back."""
+
+    def run(batches):
+        texts, marks = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            marks += batch.column(1).to_pylist()
+        model = fit(texts, marks)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weight.astype(np.float32).tobytes()], pa.binary()), pa.array([model.bias], pa.float64())], names=["weight", "bias"])
+
+    got = sample(docs, labels, max_rows, max_chars).select("text", "quality").coalesce(1).mapInArrow(run, "weight binary, bias double").collect()
+    return Model(np.frombuffer(got[0].weight, np.float32), got[0].bias) if got else Model(np.zeros(1 << BITS, np.float32), 0.0)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, extra: tuple[str, ...] = ()) -> DataFrame:
