@@ -131,8 +131,7 @@ def prose_predicates(t: Tables) -> DataFrame:
     k = F.col("p_partkey") % 5
     said = F.when(k == 0, " group-by-stage").when(k == 1, " voxel-by-voxel").when(k == 2, " a vs b").when(k == 3, " change in x").otherwise(" x > y over time")
     p = t.part.withColumn("x", F.concat("p_name", said))
-    p = p.select("p_partkey", T.names_a_crossing("x").alias("crossing"), T.names_a_comparison("x").alias("comparison"), T.names_a_change("x").alias("change"), T.names_a_derivation("x").alias("derivation"))
-    return p.withColumn("comparison", F.col("comparison") & ((F.col("p_partkey") % 5).isin(2, 4)))
+    return p.select("p_partkey", T.names_a_crossing("x").alias("crossing"), T.names_a_comparison("x").alias("comparison"), T.names_a_change("x").alias("change"), T.names_a_derivation("x").alias("derivation"))
 
 
 @query("""SELECT doc_id, substr(trim(regexp_replace(text, '[ \\n\\t]+', ' ', 'g')), 1, 110) AS short, length(trim(regexp_replace(text, '[ \\n\\t]+', ' ', 'g'))) AS squeezed, trim(regexp_replace(text, '[ \\n\\t]+', ' ', 'g')) AS unfenced FROM documents""")
