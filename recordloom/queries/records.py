@@ -145,7 +145,7 @@ def verdict_pivot(t: Tables) -> DataFrame:
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber = 2 OR (l_linenumber = 3 AND l_returnflag = 'R') THEN 'allowed' ELSE 'reported' END AS side FROM lineitem WHERE l_orderkey < 2000")
 def allowlist_partition(t: Tables) -> DataFrame:
-    f = t.lineitem.where("l_orderkey < 2000").select("l_orderkey", "l_linenumber", "l_partkey", F.concat(F.lit("lines["), "l_partkey", F.lit("].n"), "l_linenumber").alias("path"), F.concat(F.lit("flag "), "l_returnflag").alias("message"))
+    f = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.concat(F.lit("lines["), "l_partkey", F.lit("].n"), "l_linenumber").alias("path"), F.concat(F.lit("flag "), "l_returnflag").alias("message"))
     a = t.spark.createDataFrame([("lines[0].n2", None), ("lines.n3", "flag R"), (None, None)], "path string, message string")
     left, gone = R.partition_allowed(f, a)
     cols = ["l_orderkey", "l_linenumber", "l_partkey"]

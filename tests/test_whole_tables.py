@@ -18,3 +18,9 @@ def test_prose_predicates_every_part(spark, sf):
     words = ("versus", " vs ", " vs. ", "greater than", "less than", "difference between", "change in", "change from", "pre-post", "pre/post", "prepost", " x > y ")
     want = {k: any(w in (name + said[k % 5]).lower() for w in words) for k, name in read(sf, "SELECT p_partkey, p_name FROM part")}
     assert {r.p_partkey: r.comparison for r in Q.queries()["prose_predicates"](spark, sf).collect()} == want
+
+
+def test_allowlist_partition_every_line(spark):
+    sf = "/root/testdata/sf0.01"  # order keys beyond 2000
+    want = {(o, n, p, "allowed" if n == 2 or (n == 3 and flag == "R") else "reported") for o, n, p, flag in read(sf, "SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem")}
+    assert {tuple(r) for r in Q.queries()["allowlist_partition"](spark, sf).collect()} == want
