@@ -172,5 +172,5 @@ def output_diff(t: Tables) -> DataFrame:
 SELECT coalesce(a.k, b.k) AS nation, CAST(coalesce(a.pos, b.pos) AS INT) AS pos, a.v AS "left", b.v AS "right", a.v IS NOT DISTINCT FROM b.v AS same FROM a FULL JOIN b ON a.k = b.k AND a.pos = b.pos""")
 def positional_diff(t: Tables) -> DataFrame:
     a = t.supplier.select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("pos"), F.col("s_suppkey").alias("name"))
-    b = t.customer.where("c_custkey <= 100").select(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("pos"), F.col("c_custkey").alias("name"))
+    b = t.customer.select(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("pos"), F.col("c_custkey").alias("name"))
     return R.diff_report(a, b, "nation", "name")

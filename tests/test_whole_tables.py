@@ -24,3 +24,13 @@ def test_allowlist_partition_every_line(spark):
     sf = "/root/testdata/sf0.01"  # order keys beyond 2000
     want = {(o, n, p, "allowed" if n == 2 or (n == 3 and flag == "R") else "reported") for o, n, p, flag in read(sf, "SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem")}
     assert {tuple(r) for r in Q.queries()["allowlist_partition"](spark, sf).collect()} == want
+
+
+def test_positional_diff_every_customer(spark, sf):
+    sides = [{}, {}]
+    for side, (table, c) in zip(sides, (("supplier", "s"), ("customer", "c"))):
+        key = {"s": "s_suppkey", "c": "c_custkey"}[c]
+        for nation, k in read(sf, f"SELECT {c}_nationkey, {key} FROM {table} ORDER BY {key}"):
+            side[nation, sum(n == nation for n, _ in side) + 1] = k
+    want = {(*at, sides[0].get(at), sides[1].get(at), sides[0].get(at) == sides[1].get(at)) for at in sides[0].keys() | sides[1].keys()}
+    assert {(r.nation, r.pos, r.left, r.right, r.same) for r in Q.queries()["positional_diff"](spark, sf).collect()} == want
