@@ -85,7 +85,7 @@ def section_path(t: Tables) -> DataFrame:
 @query("""WITH o AS (SELECT doc_id, length(text) // 2 AS mid, unnest(list_filter(range(length(text)), lambda i: substr(text, i + 1, 4) = ' the')) AS s FROM documents WHERE lang = 'en')
 SELECT doc_id, CAST(arg_min(s, (abs(s - mid), s)) AS BIGINT) AS start_char FROM o GROUP BY doc_id""")
 def span_nearest(t: Tables) -> DataFrame:
-    d = t.documents.where("lang = 'en'").select("doc_id", "text", F.lit(" the").alias("quote"), F.floor(F.length("text") / 2).alias("mid"))
+    d = t.documents.select("doc_id", "text", F.lit(" the").alias("quote"), F.floor(F.length("text") / 2).alias("mid"))
     return spans.resolve(d, near="mid").where("exact").select("doc_id", "start_char")
 
 

@@ -34,3 +34,12 @@ def test_positional_diff_every_customer(spark, sf):
             side[nation, sum(n == nation for n, _ in side) + 1] = k
     want = {(*at, sides[0].get(at), sides[1].get(at), sides[0].get(at) == sides[1].get(at)) for at in sides[0].keys() | sides[1].keys()}
     assert {(r.nation, r.pos, r.left, r.right, r.same) for r in Q.queries()["positional_diff"](spark, sf).collect()} == want
+
+
+def test_span_nearest_every_document(spark, sf):
+    want = {}
+    for doc_id, text in read(sf, "SELECT doc_id, text FROM documents"):
+        at = [i for i in range(len(text or "")) if text.startswith(" the", i)]
+        if at:
+            want[doc_id] = min(at, key=lambda i: (abs(i - len(text) // 2), i))
+    assert {r.doc_id: r.start_char for r in Q.queries()["span_nearest"](spark, sf).collect()} == want
