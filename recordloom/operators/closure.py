@@ -42,14 +42,17 @@ def cycles(edges: DataFrame, roots: DataFrame, group: list[str] | None = None) -
     return paths(edges, roots, g).where("cycle").select(*g, "root", F.array_join("path", " > ").alias("path"))
 
 
-def reachable(edges: DataFrame, roots: DataFrame, rounds: int = 64) -> DataFrame:
-    """Distinct nodes reached from the roots, by rounds of a semi-naive join: for relations too large for path rows."""
+def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Distinct nodes reached from the roots, by rounds of a semi-naive join until one finds none: for relations too large for path rows."""
+    from itertools import count
+
     from ..session import reliable
 
     seen = frontier = reliable(roots.select("node").distinct())
-    for _ in range(rounds):
+    for k in count(1):
         frontier = reliable(frontier.join(edges, frontier.node == edges.src).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti"))
         if frontier.isEmpty():
-            break
+            return seen
         seen = seen.union(frontier)
-    return seen
+        if k % 16 == 0:  # else the plan and its partitions grow with the depth
+            seen = reliable(seen.distinct())

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from recordloom import queries as Q
+from recordloom.operators import closure
 
 
 def read(sf, sql):
@@ -43,3 +44,8 @@ def test_span_nearest_every_document(spark, sf):
         if at:
             want[doc_id] = min(at, key=lambda i: (abs(i - len(text) // 2), i))
     assert {r.doc_id: r.start_char for r in Q.queries()["span_nearest"](spark, sf).collect()} == want
+
+
+def test_reachable_beyond_64_hops(spark):
+    edges = spark.range(70).selectExpr("id AS src", "id + 1 AS dst")
+    assert sorted(r.node for r in closure.reachable(edges, spark.range(1).selectExpr("id AS node")).collect()) == list(range(71))
