@@ -49,3 +49,9 @@ def test_span_nearest_every_document(spark, sf):
 def test_reachable_beyond_64_hops(spark):
     edges = spark.range(70).selectExpr("id AS src", "id + 1 AS dst")
     assert sorted(r.node for r in closure.reachable(edges, spark.range(1).selectExpr("id AS node")).collect()) == list(range(71))
+
+
+def test_identity_diff_every_nation(spark, sf):
+    a, b = ({k for (k,) in read(sf, f"SELECT {c} FROM {t}")} for t, c in (("customer", "c_nationkey"), ("supplier", "s_nationkey")))
+    want = {(k, "common" if k in a & b else "missing" if k in a else "extra") for k in a | b}
+    assert {tuple(r) for r in Q.queries()["identity_diff"](spark, sf).collect()} == want
