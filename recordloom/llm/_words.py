@@ -94,30 +94,68 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: np.ndarray | None = None, piece: int = 1 << 18) -> np.ndarray:
-    """A 64-bit hash of each byte span (spans ascend and don't overlap): differences of one running polynomial, about ``piece`` bytes at a time."""
+    """A 64-bit hash of each byte span (spans ascend and don't overlap): differences of one running polynomial, ``piece`` bytes at a time."""
     out = np.zeros(len(starts), U64)
     if not len(starts):
         return out
     up, down = powers(BASE, piece), powers(INVERSE, piece)
+
+    def letters(a: int, b: int) -> np.ndarray:
+        part = data[a:b]
+        return (part if lower is None else lower[part]).astype(U64) + U64(1)
+
     a = 0
     while a < len(starts):
-        first = starts[a]
-        b = max(a + 1, int(np.searchsorted(ends, first + piece, "right")))
-        size = int(ends[b - 1] - first)
-        if size > len(up):
-            up, down = powers(BASE, size), powers(INVERSE, size)
-        part = data[first : ends[b - 1]]
-        part = (part if lower is None else lower[part]).astype(U64)
-        part += U64(1)
-        part *= up[:size]
+        first = int(starts[a])
+        b = int(np.searchsorted(ends, first + piece, "right"))
+        if b <= a:  # a span longer than a piece: its pieces' sums, each moved to its place
+            total, last = 0, int(ends[a])
+            for at in range(first, last, piece):
+                part = letters(at, min(at + piece, last))
+                total += int((part * up[: len(part)]).sum()) * pow(BASE, at - first, 1 << 64)
+            out[a] = (total + last - first) & 0xFFFFFFFFFFFFFFFF
+            a += 1
+            continue
+        size = int(ends[b - 1]) - first
         run = np.zeros(size + 1, U64)
-        np.cumsum(part, out=run[1:])
+        np.cumsum(letters(first, first + size) * up[:size], out=run[1:])
         s, e = starts[a:b] - first, ends[a:b] - first
         out[a:b] = (run[e] - run[s]) * down[s] + (e - s).astype(U64)
         a = b
     return mix(out)
 
 
+def stretches(data: np.ndarray, is_word: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Byte ranges of about ``limit`` that cut no word in two (a longer word makes a longer range)."""
+    a, n = 0, len(data)
+    while a < n:
+        b = min(n, a + limit)
+        while b < n:
+            gaps = np.flatnonzero(~is_word[data[max(a, b - limit) : b]])
+            if len(gaps):
+                b = max(a, b - limit) + int(gaps[-1]) + 1
+                break
+            b = min(n, b + limit)
+        yield a, b
+        a = b
+
+
+def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, lower: np.ndarray | None = None, limit: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words, and the n + 1 places of the rows' first words. Beyond the limit rows are read a stretch at a time, so that the work needs little more than the hashes."""
+    if len(data) <= limit:
+        starts, ends, first = spans(data, offsets, is_word)
+        return hashes(data, starts, ends, lower), first
+    got, first = [], [0]
+    for a, b in zip(offsets[:-1], offsets[1:]):
+        row, n = data[a:b], 0
+        for c, d in stretches(row, is_word, limit):
+            starts, ends, _ = spans(row[c:d], np.array([0, d - c]), is_word)
+            got.append(hashes(row[c:d], starts, ends, lower))
+            n += len(starts)
+        first.append(first[-1] + n)
+    return np.concatenate([np.zeros(0, U64), *got]), np.array(first)
+
+
 def windows(words: np.ndarray, first: np.ndarray, width: int) -> list[np.ndarray]:
     """For each row the hashes of its windows of ``width`` words; a shorter row gives one for the whole row, an empty row none."""
     by = odd(width, seed=7)
