@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -60,3 +60,12 @@ class Stash:
 def pieces(spark: SparkSession, per_core: int = 1) -> int:
     """A partition count that follows the session's setting (the cluster sizes it to its data)."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * per_core)
+
+
+def first_by_hash(rows: DataFrame, columns: list[str], n: int) -> DataFrame:
+    """The n rows with the smallest hash of ``columns`` (all rows if fewer); a threshold first leaves few to order, however many partitions there are."""
+    count = rows.count()
+    hashed = rows.withColumn("__h", F.xxhash64(*columns))
+    if count > 4 * n:
+        hashed = hashed.where(F.col("__h") < F.lit(int(-(1 << 63) + (2 * n / count) * 2.0**64)))
+    return hashed.orderBy("__h", *columns).limit(n).drop("__h")
