@@ -10,12 +10,15 @@
 3. The rest's n-grams are ordered by how many classes have them, the rarest first.
    The plain prefix principle (one shared n-gram) links documents into families;
    passages that many documents share come last and hardly ever link.
-4. A family is walked in one task when it is small, else in pairs of blocks of
-   bounded size. Its sets are stored in a compressed trie; a probe adds up the
+4. A family is walked in one task when it is small, else in blocks of bounded
+   size. Its sets are stored in a compressed trie; a probe adds up the
    overlap along shared paths, prunes subtrees by the lengths that can still
    reach the threshold, and skips subtrees whose sets are linked to it already.
    Every pair that is skipped is connected through other verified links, so the
    components are exact and a group of n near copies costs about n verifications.
+5. A family of several blocks is linked inside its blocks first, then its parts'
+   leaders among themselves, and then only blocks of what is still apart meet, in
+   pairs. So near copies, however many, are shipped once and not once per block.
 """
 
 from __future__ import annotations
@@ -25,11 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ._graph import components
 from ._store import Stash, cut, pieces
-from ._words import SPACES, U64, hashes, lower_table, mix, slices, spans, table, utf8, windows
+from ._words import SPACES, U64, lower_table, mix, slices, table, utf8, windows, words
 
 #: Sets, and n-grams, of one block in a walk; they bound a task's memory.
 BLOCK, GRAMS = 2000, 1_500_000
@@ -51,8 +54,7 @@ def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
     for a, b in slices(offsets):
         at = offsets[a : b + 1] - offsets[a]
         part = data[offsets[a] : offsets[b]]
-        starts, ends, first = spans(part, at, is_word)
-        for grams in windows(hashes(part, starts, ends, lower), first, width):
+        for grams in windows(*words(part, at, is_word, lower), width):
             grams = np.sort(grams.view(np.int64))
             yield grams[np.concatenate(([True], grams[1:] != grams[:-1]))] if len(grams) else grams
 
@@ -191,8 +193,8 @@ class Trie:
         return found
 
 
-def links(ids: np.ndarray, rows: list[np.ndarray], num: int = 4, den: int = 5) -> list[tuple[int, int]]:
-    """Pairs (member, first member) that connect exactly the sets which similarities connect."""
+def links(ids: np.ndarray, rows: list[np.ndarray], num: int = 4, den: int = 5, parts: list[int] | None = None) -> list[tuple[int, int]]:
+    """Pairs (member, first member) that connect exactly the sets which similarities connect; sets of one part are known to be connected."""
     flat = np.concatenate(rows)
     known, dense, count = np.unique(flat, return_inverse=True, return_counts=True)
     rank = np.empty(len(known), np.int64)
@@ -201,59 +203,96 @@ def links(ids: np.ndarray, rows: list[np.ndarray], num: int = 4, den: int = 5) -
     ordered = [np.sort(rank[dense[a:b]]) for a, b in zip(at[:-1], at[1:])]
     trie, mask = Trie(ordered), np.zeros(len(known), np.int64)
     taken, out = np.zeros(len(rows), bool), []
+    mates: dict[int, list[int]] = {}
+    for i, part in enumerate(parts or ()):
+        mates.setdefault(part, []).append(i)
     for i in range(len(rows)):
         if taken[i]:
             continue
-        taken[i] = True
-        trie.take(i)
-        todo, members = [i], []
+        todo, members = [], []
+
+        def meet(x: int) -> None:
+            for y in mates.pop(parts[x], ()) if parts else (x,):  # all sets of a part at once
+                if not taken[y]:
+                    taken[y] = True
+                    trie.take(y)
+                    todo.append(y)
+                    members.append(y)
+
+        meet(i)
         while todo:
             x = todo.pop()
             if not trie.live[0]:
                 break
             mask[ordered[x]] = 1
             for y in trie.probe(mask, len(ordered[x]), taken, num, den):
-                taken[y] = True
-                trie.take(y)
-                todo.append(y)
-                members.append(y)
+                meet(y)
             mask[ordered[x]] = 0
-        out += [(int(ids[y]), int(ids[i])) for y in members]
+        out += [(int(ids[y]), int(ids[i])) for y in members if y != i]
     return out
 
 
 def _walk(width: int, num: int, den: int):
-    """(task, doc_id, text) sorted by task -> links (a, b)."""
+    """(task, doc_id, part, text) sorted by task -> links (a, b)."""
 
     def run(batches):
-        task, ids, rows = None, [], []
+        task, ids, parts, rows = None, [], [], []
 
         def flush():
-            return links(np.array(ids), rows, num, den) if len(ids) > 1 else []
+            return links(np.array(ids), rows, num, den, parts) if len(ids) > 1 else []
+
+        def out(found):
+            return pa.RecordBatch.from_pandas(pd.DataFrame(found, columns=["a", "b"], dtype="int64"), preserve_index=False)
 
         for batch in batches:
             found = []
-            for t, i, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _sets(batch.column(2), width)):
+            for t, i, part, grams in zip(*(batch.column(k).to_pylist() for k in range(3)), _sets(batch.column(3), width)):
                 if t != task:
                     found += flush()
-                    task, ids, rows = t, [], []
+                    task, ids, parts, rows = t, [], [], []
                 ids.append(i)
+                parts.append(part)
                 rows.append(grams)
             if found:
-                yield pa.RecordBatch.from_pandas(pd.DataFrame(found, columns=["a", "b"], dtype="int64"), preserve_index=False)
+                yield out(found)
         if found := flush():
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(found, columns=["a", "b"], dtype="int64"), preserve_index=False)
+            yield out(found)
 
     return run
 
 
+def _blocks(size: str, weight: str, block: int, grams_in_block: int) -> Column:
+    return F.greatest(F.ceil(F.col(size) / block), F.ceil(F.col(weight) / grams_in_block), F.lit(1)).cast("int")
+
+
+def apart(nodes: DataFrame, block: int = BLOCK, grams_in_block: int = GRAMS) -> DataFrame:
+    """(family, label, node, n) -> (node, label, task): what has to meet once sets of one label are known to be connected.
+
+    A label that fills half a block has blocks of its own, the others share blocks.
+    Blocks of a family meet in pairs, but no two of one label; a family of one
+    label has no task.
+    """
+    labels = nodes.groupBy("family", "label").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
+    labels = labels.withColumn("several", F.count("*").over(Window.partitionBy("family")) > 1).where("several")
+    labels = labels.withColumn("own", (2 * F.col("size") >= block) | (2 * F.col("weight") >= grams_in_block)).withColumn("blocks", _blocks("size", "weight", block, grams_in_block))
+    shared = labels.where("NOT own").groupBy("family").agg(F.sum("size").alias("size"), F.sum("weight").alias("weight")).select("family", (2 * _blocks("size", "weight", block, grams_in_block)).alias("mixed"))
+    labels = labels.join(shared, "family", "left").select("family", "label", "own", "blocks", "mixed")
+    mine = F.when(F.col("own"), F.concat_ws(".", "label", F.pmod(F.xxhash64("node"), F.col("blocks")))).otherwise(F.concat(F.lit("-"), F.pmod(F.xxhash64("label"), F.col("mixed"))))
+    placed = nodes.join(labels, ["family", "label"]).select("family", "node", "label", mine.alias("mine"), F.when(F.col("own"), F.col("label")).alias("pure"))
+    ids = placed.select("family", "mine", "pure").distinct()
+    other = ids.select("family", F.col("mine").alias("other"), F.col("pure").alias("pure2"))
+    pairs = ids.join(other, "family").where("NOT (pure <=> pure2 AND pure IS NOT NULL) AND (mine != other OR pure IS NULL)")
+    pairs = pairs.select("family", "mine", F.concat_ws("/", "family", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"))
+    return placed.join(pairs, ["family", "mine"]).select("node", "label", "task")
+
+
 def ngram_jaccard_join(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5, block: int = BLOCK, grams_in_block: int = GRAMS) -> DataFrame:
     """One row per input row: doc_id, n_shingles, representative (smallest doc_id with the same set), component_id.
 
     Words are what ASCII white space leaves after lower-casing A-Z; similar means
     ``den * overlap >= num * union``. Null and empty texts have an empty set and
     link with nothing; a text of fewer than ``width`` words is one n-gram. Rows
-    with one doc_id are one node. A null doc_id names no node: its row comes back
+    with one doc_id are one node and join all that any of their texts links to. A null doc_id names no node: its row comes back
     with its size and null ids, and links nothing. Other columns are ignored. An
     empty table gives an empty result. ``block`` and ``grams_in_block``
     bound a task's memory; no value changes a result.
@@ -310,23 +349,30 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, num: int = 4, den: int =
         leaders = offered.groupBy("gram").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top")).where("b < top").select("gram", "b")
         family = components(offered.join(leaders, "gram").select(F.col("doc_id").alias("a"), "b").distinct())
 
-        # tasks: a whole family, or each pair of its blocks
+        def walked(tasks: DataFrame, name: str) -> DataFrame:
+            """Links among the sets of each task; tasks: (task, doc_id, part)."""
+            rows = tasks.join(texts, "doc_id").select("task", "doc_id", "part", "text")
+            return stash.save(rows.repartition(pieces(spark, 2), "task").sortWithinPartitions("task", "doc_id").mapInArrow(_walk(width, num, den), "a long, b long"), name)
+
         weight = offered.groupBy(F.col("doc_id").alias("node")).agg(F.max("n").alias("n"))
-        sizes = (
-            family.join(weight, "node").groupBy("component").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
-            .withColumn("blocks", F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("weight") / grams_in_block)).cast("int"))
-        )
-        placed = (
-            family.join(sizes, "component")
-            .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.expr("CASE WHEN blocks = 1 THEN array(0) ELSE filter(sequence(0, blocks - 1), x -> x != mine) END")))
-            .select(F.col("node").alias("doc_id"), F.concat_ws("-", "component", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"))
-        )
-        tasks = placed.join(texts, "doc_id").select("task", "doc_id", "text")
-        found = tasks.repartition(pieces(spark, 2), "task").sortWithinPartitions("task", "doc_id").mapInArrow(_walk(width, num, den), "a long, b long")
-        # a doc_id with several sets joins their classes
-        several = ids.join(reps.select("s1", "s2", "rep"), ["s1", "s2"]).groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-        again = several.selectExpr("doc_id AS a", "lo AS b").union(several.selectExpr("doc_id", "hi"))
+        family = stash.save(family.join(weight, "node").select("node", F.col("component").alias("family"), "n"), "family")
+        sizes = family.groupBy("family").agg(F.count("*").alias("size"), F.sum("n").alias("weight")).withColumn("blocks", _blocks("size", "weight", block, grams_in_block))
+        placed = family.join(sizes, "family").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        found = walked(placed.select(F.concat_ws(".", "family", "mine").alias("task"), F.col("node").alias("doc_id"), F.col("node").alias("part")), "inside")
+        large = stash.save(placed.where("blocks > 1").select("family", "node", "n"), "large")
+        if not large.isEmpty():
+
+            def labelled(links: DataFrame) -> DataFrame:
+                return large.join(components(links), "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+
+            leaders = labelled(found).where("label = node").withColumn("size", F.count("*").over(Window.partitionBy("family")))
+            task = F.concat_ws(".", "family", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / block).cast("int")))
+            found = found.union(walked(leaders.select(task.alias("task"), F.col("node").alias("doc_id"), F.col("node").alias("part")), "leaders"))
+            rest = apart(stash.save(labelled(found), "labels"), block, grams_in_block)
+            found = found.union(walked(rest.select("task", F.col("node").alias("doc_id"), F.col("label").alias("part")), "across"))
+        # a doc_id with several sets joins all their classes
+        several = ids.select("doc_id", "s1", "s2").distinct().groupBy("doc_id").count().where("count > 1").select("doc_id")
+        again = ids.select("doc_id", "s1", "s2").join(several, "doc_id").join(reps.select("s1", "s2", "rep"), ["s1", "s2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
         joined = components(found.union(again))
         classes = reps.join(joined, reps.rep == joined.node, "left").select("s1", "s2", F.col("rep").alias("representative"), F.coalesce("component", "rep").alias("component_id"))
         return cut(
