@@ -1,7 +1,9 @@
 """Quality classifier: averaged subword embeddings with a softmax output, fitted by numpy SGD.
 
-A text's features are its words, word pairs (a repeated word is a pair of its own) and byte n-grams, hashed into a fixed
-number of buckets; each bucket has a learned vector. A document is the mean of its
+A text's features are its words, pairs of neighbouring words and the character
+n-grams inside its words (with their ends marked), hashed into a fixed number of
+buckets. A pair of equal words is one feature whichever word it is: n-grams of
+words never seen before can't tell by themselves that a text repeats them. Each bucket has a learned vector. A document is the mean of its
 feature vectors, and two softmax weights give the probability of label 1. Once
 fitted, the two layers are folded into one number per bucket, so scoring is a
 gather and a mean over each whole text.
@@ -15,12 +17,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ._words import SPACES, U64, hashes, odd, slices, spans, table, utf8
+from ._store import Stash, first_by_hash
+from ._words import SPACES, U64, odd, slices, stretches, table, utf8, words as _hashed
 
-#: Buckets (a power of two), vector width, byte n-gram lengths.
+#: Buckets (a power of two), vector width, character n-gram lengths.
 BITS, DIM, NGRAMS = 17, 16, (3, 4)
-#: The fit uses at most so many labelled rows, the first by a hash of doc_id, each of at most so many characters.
-MAX_ROWS, MAX_CHARS = 4000, 200_000
+#: The fit uses at most so many labelled rows, the first by a hash of doc_id.
+MAX_ROWS = 4000
+#: Rows of more bytes are read in stretches that end between words.
+STRETCH = 1 << 20
 
 
 def held_out(doc_id: Column) -> Column:
@@ -28,34 +33,47 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
+def _characters(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One number per UTF-8 character (white space is a space), and the rows' places in them."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    out = data[lead].astype(np.uint32)
+    out[~table(SPACES)[data[lead]]] = 32
+    wide = np.flatnonzero(out >= 0xC0)
+    for k in (1, 2, 3):
+        wide = wide[lead[wide] + k < len(data)]
+        rest = data[lead[wide] + k]
+        wide, rest = wide[(rest & 0xC0) == 0x80], rest[(rest & 0xC0) == 0x80]
+        out[wide] |= rest.astype(np.uint32) << np.uint32(8 * k)
+    return out, np.searchsorted(lead, at)
+
+
 def _buckets(data: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """(buckets, n + 1 row places) of each kind of feature."""
     shift = U64(64 - BITS)
-    starts, ends, first = spans(data, at, table(SPACES))
-    words = hashes(data, starts, ends)
+    words, first = _hashed(data, at, table(SPACES))
     out = [((words >> shift).astype(np.int64), first)]
     inner = np.ones(max(0, len(words) - 1), bool)
     cuts = first[1:-1]
     inner[cuts[(cuts > 0) & (cuts < len(words))] - 1] = False  # pairs don't cross rows
-    pairs = np.where(words[:-1] == words[1:], U64(1), words[:-1] * odd(1, 3)[0] + words[1:])[inner] * odd(1, 5)[0]  # a word said twice is one feature, whichever word
+    pairs = np.where(words[:-1] == words[1:], U64(1), words[:-1] * odd(1, 3)[0] + words[1:])[inner] * odd(1, 5)[0]
     kept = np.concatenate(([0], np.cumsum(inner))) if len(inner) else np.zeros(1, np.int64)
     out.append(((pairs >> shift).astype(np.int64), kept[np.minimum(first, len(kept) - 1)]))
+    letters, at = _characters(data, at)
+    gaps = np.concatenate(([0], np.cumsum(letters == 32)))
+    ends = np.repeat(at[1:], np.diff(at))  # of each character's row
     for n in NGRAMS:
-        by = (odd(n, seed=20 + n) >> U64(32)).astype(np.uint32) | np.uint32(1)
-        size = len(data) - n + 1
+        size = len(letters) - n + 1
         if size <= 0:
             out.append((np.zeros(0, np.int64), np.zeros(len(at), np.int64)))
             continue
+        by = (odd(n, seed=20 + n) >> U64(32)).astype(np.uint32) | np.uint32(1)
         x = np.zeros(size, np.uint32)
         for k in range(n):
-            x += data[k : k + size].astype(np.uint32) * by[k]
+            x += letters[k : k + size] * by[k]
         x *= np.uint32(2654435769)
-        lens = np.maximum(0, np.diff(at) - n + 1)
-        inside = np.zeros(len(data) + 1, np.int8)
-        np.add.at(inside, at[:-1][lens > 0], 1)
-        np.add.at(inside, (at[:-1] + lens)[lens > 0], -1)
-        inside = np.cumsum(inside[:size]).astype(bool)
-        out.append(((x[inside] >> np.uint32(32 - BITS)).astype(np.int64), np.concatenate(([0], np.cumsum(lens)))))
+        inside = (gaps[n - 1 : n - 1 + size] == gaps[1 : 1 + size]) & (np.arange(n, n + size) <= ends[:size])  # only its ends may be spaces
+        count = np.concatenate(([0], np.cumsum(inside)))
+        out.append(((x[inside] >> np.uint32(32 - BITS)).astype(np.int64), count[np.minimum(at, size)]))
     return out
 
 
@@ -66,14 +84,33 @@ class Model:
     weight: np.ndarray
     bias: float
 
-    def score(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def _sums(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         total, count = np.zeros(len(at) - 1), np.zeros(len(at) - 1)
         for buckets, first in _buckets(data, at):
             total += np.diff(np.concatenate(([0.0], np.cumsum(self.weight[buckets], dtype=np.float64)))[first])
             count += np.diff(first)
+        return total, count
+
+    def score(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        if len(data) <= STRETCH:
+            total, count = self._sums(data, at)
+        else:
+            rows = [[self._sums(data[a + c : a + d], np.array([0, d - c])) for c, d in stretches(data[a:b], table(SPACES), STRETCH)] for a, b in zip(at[:-1], at[1:])]
+            total, count = (np.array([sum(float(x[k][0]) for x in row) for row in rows]) for k in (0, 1))
         return 1 / (1 + np.exp(-(total / np.maximum(count, 1) + self.bias)))
 
 
+def _features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of a text and their shares."""
+    data, _ = utf8(pa.array([text], pa.string()))
+    counts = np.zeros(1 << BITS, np.int64)
+    for a, b in stretches(data, table(SPACES), STRETCH):
+        for buckets, _ in _buckets(data[a:b], np.array([0, b - a])):
+            counts += np.bincount(buckets, minlength=1 << BITS)
+    own = np.flatnonzero(counts)
+    return own.astype(np.int32), (counts[own] / max(1, counts.sum())).astype(np.float32)
+
+
 def fit(texts: list[str | None], labels: list[int], epochs: int = 5, rate: float = 20.0, seed: int = 1) -> Model:
     """Stochastic gradient descent on softmax cross-entropy, one text a step. No rows of one of the labels: a constant score."""
     y = np.array(labels, np.int64)
@@ -81,11 +118,9 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = 5, rate: float
         return Model(np.zeros(1 << BITS, np.float32), 4.0 * (float(y.mean()) * 2 - 1) if len(y) else 0.0)
     ids, share, at = [], [], [0]
     for text in texts:
-        data, ends = utf8(pa.array([text], pa.string()))
-        flat = np.concatenate([b for b, _ in _buckets(data, ends)])
-        own, n = np.unique(flat, return_counts=True)
-        ids.append(own.astype(np.int32))
-        share.append((n / max(1, len(flat))).astype(np.float32))
+        own, part = _features(text)
+        ids.append(own)
+        share.append(part)
         at.append(at[-1] + len(own))
     ids, share = np.concatenate(ids), np.concatenate(share)  # two arrays for all rows: the driver's memory is given back as a whole
     rng = np.random.default_rng(seed)
@@ -109,17 +144,16 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = 5, rate: float
     return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> DataFrame:
-    """The bounded sample to learn from: (doc_id, text, quality), ordered."""
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
+    """Fits on a bounded sample of the labelled rows whose document is there, chosen by id before any text is read.
+
+    One task counts each text's features as it comes and fits; only the folded
+    model comes back. Rows of one doc_id in docs or labels are learned from as many
+    times as they pair, within max_rows.
+    """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     marked = marked.where("quality IN (0, 1)").where(~held_out(F.col("doc_id")))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars)
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_rows)
-    return texts.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "text").limit(max_rows)
-
-
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> Model:
-    """Fits on the sample in one task, which spares the driver the features; only the folded model comes back."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches):
         texts, marks = [], []
@@ -129,7 +163,11 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_char
         model = fit(texts, marks)
         yield pa.RecordBatch.from_arrays([pa.array([model.weight.astype(np.float32).tobytes()], pa.binary()), pa.array([model.bias], pa.float64())], names=["weight", "bias"])
 
-    got = sample(docs, labels, max_rows, max_chars).select("text", "quality").coalesce(1).mapInArrow(run, "weight binary, bias double").collect()
+    with Stash(docs.sparkSession) as stash:
+        known = stash.save(marked.join(texts.select("doc_id"), "doc_id", "left_semi"), "known")
+        chosen = stash.save(first_by_hash(known, ["doc_id", "quality"], max_rows), "chosen")
+        rows = texts.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality", F.xxhash64("text")).limit(max_rows)
+        got = rows.select("text", "quality").coalesce(1).mapInArrow(run, "weight binary, bias double").collect()
     return Model(np.frombuffer(got[0].weight, np.float32), got[0].bias) if got else Model(np.zeros(1 << BITS, np.float32), 0.0)
 
 
@@ -137,7 +175,10 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, extra: tuple[st
     """doc_id, the columns named in ``extra``, score and predicted (1 from the threshold on), one row per input row.
 
     Null texts count as empty; empty texts get the bias's score. Null ids stay null.
+    Equal texts have equal scores. Columns of docs named score or predicted are
+    replaced. An empty table gives none.
     """
+    extra = tuple(c for c in extra if c not in ("score", "predicted"))
     shown = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(F.col(c) for c in extra if c not in ("doc_id", "text"))]
     table_in = docs.select(shown)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table_in.schema if f.name != "text" or "text" in extra)
