@@ -1,17 +1,19 @@
-"""Line dedup: repeated line runs by prefix doubling over line-ID sequences.
-
-Lines that stand only once split a document into islands. Over the islands'
-lines, each doubling round sorts the distinct pairs (rank of 2**t lines, rank of
-the next 2**t lines) and gives every pair that occurs again its place as rank: the
-suffixes of equal rank are one interval of the suffix array whose longest common
-prefix is 2**(t+1) lines or more. Pairs that occur once are dropped at once, so the
-rounds shrink to what is repeated.
-
-A repeated run of at least ``min_words`` words is covered by its shortest
-sufficient runs: those from a line on, and those up to a line. Their length is a
-matter of their own words, so equal runs have equal lengths, and two overlapping
-ranks of 2**t lines name them exactly. That needs log2(min_words) rounds. A run
-whose name stands earlier is a later copy, and its lines go.
+"""Line dedup: repeated line runs from a suffix array over line-ID sequences.
+
+Lines that stand only once split a document into islands; islands of too few words
+can't hold a run and go, and of equal islands only the first goes on (the others
+are copies as a whole). Over the rest, each doubling round sorts the distinct pairs
+(rank of 2**t lines, rank of the next 2**t lines) and numbers those that occur
+again: suffixes of equal rank are an interval of the suffix array whose common
+prefix is 2**(t+1) lines or more. Pairs that occur once have found their place and
+leave, so the rounds shrink to what is repeated, and they go on until no rank does.
+
+Then the intervals are narrowed from the longest prefix down. A suffix is in the
+interval of (f, n) when its first n lines stand first at place f, before its own;
+it goes on to n + 2**t lines if the rank of the next 2**t lines occurs earlier inside
+that interval. What comes out is, for each place, the longest run from there that
+stands earlier: the depth of the deepest LCP interval in which it isn't the first.
+Runs that are no part of the run one line before are the maximal ones; their lines go.
 """
 
 from __future__ import annotations
@@ -20,87 +22,126 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ._store import Stash, cut
 
-
-def _words(line: Column) -> Column:
-    return F.size(F.filter(F.split(line, r"[ \t\r\x0B\f]+"), lambda w: w != ""))
+#: What separates words and is trimmed from lines: ASCII white space. NBSP and the like are letters.
+WHITE = "\t\r\x0b\x0c"
 
 
 def _doc_key(df: DataFrame) -> Column:
     return F.xxhash64(F.lit(17), F.col("doc_id"), F.col("text"))
 
 
-def repeated_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
-    """(doc_id, key, line): the lines, numbered from 0, that belong to a later copy of a repeated run.
+def hot_join(big: DataFrame, small: DataFrame, keys: list[str], count: str = "c") -> DataFrame:
+    """big joined with small, which has one row and the number of big's rows for each key.
 
-    Order is ascending doc_id (null first), then a hash of the text, then the line.
+    Keys with more than a thousandth of the rows, so at most a thousand keys, are
+    broadcast: none of them gathers its rows in one task. Both sides are read twice
+    and so should be saved.
     """
-    spark = docs.sparkSession
+    total = small.agg(F.sum(count)).first()[0] or 0
+    hot = small.where(F.col(count) * 1000 > total)
+    if hot.isEmpty():
+        return big.join(small, keys)
+    rest = big.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(small.where(F.col(count) * 1000 <= total), keys)
+    return big.join(F.broadcast(hot), keys).unionByName(rest)
+
+
+def lines_of(docs: DataFrame) -> DataFrame:
+    """doc_id, key, j, line, words, h1, h2: the lines that have words; line counts all lines from 0, j those with words."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     base = base.withColumn("key", _doc_key(base))
-    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.cast("long").alias("line"), F.trim(F.translate(x, "\t\r", "  ")).alias("s")))
-    lines = F.transform(F.filter(lines, lambda x: x["s"] != ""), lambda x: F.struct(x["line"].alias("line"), F.xxhash64(x["s"]).alias("h1"), F.xxhash64(F.lit(1), x["s"]).alias("h2"), _words(x["s"]).cast("long").alias("words")))
-    rows = base.select("doc_id", "key", F.posexplode(lines).alias("j", "x")).select("doc_id", "key", F.col("j").cast("long").alias("j"), "x.*")
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.cast("long").alias("line"), F.trim(F.translate(x, WHITE, " " * len(WHITE))).alias("s")))
+    rows = base.select("doc_id", "key", F.posexplode(F.filter(lines, lambda x: x["s"] != "")).alias("j", "x"))
+    return rows.select("doc_id", "key", F.col("j").cast("long").alias("j"), "x.line", F.regexp_count("x.s", F.lit("[^ ]+")).cast("long").alias("words"), F.xxhash64("x.s").alias("h1"), F.xxhash64(F.lit(1), "x.s").alias("h2"))
+
 
-    with Stash(spark) as stash:
-        rows = stash.save(rows, "rows")
+def suffix_runs(active: DataFrame, stash: Stash) -> DataFrame:
+    """(pos, rank, end) -> (pos, first, n, end): the longest run from each place that also starts at an earlier place.
+
+    pos numbers the lines, consecutively inside an island; rank names a line; end is
+    one past the island's last line and names the island. Places without such a run
+    are left out; ``first`` is the earliest place of the run.
+    """
+    levels, width = [active.select("pos", "rank", "end")], 1
+    while True:
+        level = levels[-1]
+        ahead = level.select((F.col("pos") - width).alias("pos"), F.col("rank").alias("rb"), F.col("end").alias("end2"))
+        pairs = stash.save(level.withColumnRenamed("rank", "ra").join(ahead, "pos").where("end = end2").select("pos", "ra", "rb", "end"), f"pairs{width}")
+        classes = pairs.groupBy("ra", "rb").agg(F.count("*").alias("c")).where("c > 1").orderBy("ra", "rb").withColumn("rank", F.monotonically_increasing_id())
+        classes = stash.save(classes, f"classes{width}")
+        if classes.isEmpty():
+            break
+        width *= 2
+        levels.append(stash.save(hot_join(pairs, classes, ["ra", "rb"]).select("pos", "rank", "end"), f"level{width}"))
+    found = None  # pos, end; the interval: first and the end of its island, n
+    while levels:
+        level = levels.pop()
+        # places without a run so far: is the one of this width here a copy?
+        fresh = level if found is None else level.join(found.select("pos"), "pos", "left_anti")
+        none = F.lit(-1).cast("long")
+        tried = fresh.select("pos", "end", none.alias("first"), F.lit(0).cast("long").alias("n"), "rank", F.lit(False).alias("seen"))
+        if found is not None:  # the first of an interval is asked too, but has its own run elsewhere
+            firsts = found.select(F.col("first").alias("pos"), F.col("first_end").alias("end"), "first", "n", F.lit(True).alias("seen")).distinct()
+            longer = found.select("pos", "end", "first", "n", F.lit(False).alias("seen")).unionByName(firsts).withColumn("at", F.col("pos") + F.col("n"))
+            longer = longer.join(level.select(F.col("pos").alias("at"), "rank", F.col("end").alias("end2")), "at").where("end = end2")
+            tried = tried.unionByName(longer.select("pos", "end", "first", "n", "rank", "seen"))
+        tried = stash.save(tried, f"tried{width}")
+        groups = tried.groupBy("first", "n", "rank").agg(F.min("pos").alias("earliest"), F.min_by("end", "pos").alias("earliest_end"), F.count("*").alias("c")).where("c > 1")
+        now = hot_join(tried, stash.save(groups, f"groups{width}"), ["first", "n", "rank"]).where("NOT seen AND pos > earliest")
+        now = stash.save(now.select("pos", "end", F.col("earliest").alias("first"), F.col("earliest_end").alias("first_end"), (F.col("n") + width).alias("n")), f"now{width}")
+        found = now if found is None else stash.save(found.join(now.select("pos"), "pos", "left_anti").unionByName(now), f"found{width}")
+        for name in (f"tried{width}", f"groups{width}", f"pairs{width}", f"found{2 * width}"):
+            stash.drop(name)
+        width //= 2
+    return found.select("pos", "first", "n", "end")
+
+
+def maximal_runs(runs: DataFrame) -> DataFrame:
+    """Of (pos, first, n, end) those that aren't the rest of a run one line before."""
+    before = runs.select((F.col("pos") + 1).alias("pos"), (F.col("n") - 1).alias("left"), F.col("end").alias("end0"))
+    return runs.join(before, "pos", "left").where("end0 IS NULL OR end0 != end OR left < n").select("pos", "first", "n", "end")
+
+
+def repeated_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
+    """(doc_id, key, line): the lines, numbered from 0, that belong to a later copy of a repeated run.
+
+    Order is ascending doc_id (null first), then a hash of the text, then the line.
+    """
+    with Stash(docs.sparkSession) as stash:
+        rows = stash.save(lines_of(docs), "rows")
         # a whole row that stands again is the same document, so it is counted once
-        twice = rows.where("j = 0").groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key")
-        again = rows.alias("a").join(twice.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.key") == F.col("b.key")), "left_semi").distinct()
-        once = rows.alias("a").join(twice.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.key") == F.col("b.key")), "left_anti")
-        if twice.isEmpty():
-            single = rows
-        else:
-            single = stash.save(once.union(again), "single")
-
-        def ranks(pairs: DataFrame, a: str, b: str, name: str) -> DataFrame:
-            """The distinct pairs that occur again, in order, with their place."""
-            repeated = pairs.groupBy(a, b).agg(F.count("*").alias("c")).where("c > 1").select(a, b)
-            return stash.save(repeated.orderBy(a, b).withColumn("rank", F.monotonically_increasing_id()), name)
-
-        first = ranks(single, "h1", "h2", "classes0")
-        active = single.join(first, ["h1", "h2"]).select("doc_id", "key", "j", "line", "words", "rank")
-        # positions: one number for each line, ascending, consecutive inside a document
+        twice = stash.save(rows.where("j = 0").groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key"), "twice")
+        if not twice.isEmpty():
+            same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.key") == F.col("b.key"))
+            again = rows.alias("a").join(twice.alias("b"), same, "left_semi").distinct()
+            rows = stash.save(rows.alias("a").join(twice.alias("b"), same, "left_anti").union(again), "single")
+
+        # lines that stand again, and places: one number for each, ascending, consecutive inside a document
+        classes = rows.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").orderBy("h1", "h2").withColumn("rank", F.monotonically_increasing_id())
+        active = hot_join(rows, stash.save(classes, "classes"), ["h1", "h2"]).select("doc_id", "key", "j", "line", "words", "rank")
         active = active.repartitionByRange("doc_id", "key").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "key", "j")
         active = stash.save(active.withColumn("pos", F.monotonically_increasing_id()), "active")
-        of_doc = Window.partitionBy("doc_id", "key").orderBy("pos")
-        island = active.withColumn("island", F.col("j") - F.row_number().over(of_doc))
-        in_island = Window.partitionBy("doc_id", "key", "island")
-        island = island.withColumn("end", F.sum("words").over(in_island.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))).withColumn("begin", F.col("end") - F.col("words"))
-        ahead = in_island.orderBy("begin").rangeBetween(0, min_words - 1)
-        behind = in_island.orderBy("end").rangeBetween(-(min_words - 1), 0)
-        island = island.select(
-            "pos", F.count("*").over(ahead).alias("n_ahead"), F.sum("words").over(ahead).alias("w_ahead"),
-            F.count("*").over(behind).alias("n_behind"), F.sum("words").over(behind).alias("w_behind"),
-        )
-        ahead = island.where(F.col("w_ahead") >= min_words).select(F.col("pos").alias("start"), F.col("n_ahead").alias("n"))
-        behind = island.where(F.col("w_behind") >= min_words).select((F.col("pos") - F.col("n_behind") + 1).alias("start"), F.col("n_behind").alias("n"))
-        runs = stash.save(ahead.union(behind).distinct(), "runs")
-        place = active.select("pos", "doc_id", "key", "j", "rank")
-
-        level, width, names = place, 1, None
-        while True:
-            size = F.lit(width)
-            mine = runs.where((F.col("n") >= width) & (F.col("n") < 2 * width))
-            a, b = level.select(F.col("pos").alias("start"), F.col("rank").alias("ra")), level.select(F.col("pos").alias("tail"), F.col("rank").alias("rb"))
-            named = mine.withColumn("tail", F.col("start") + F.col("n") - size).join(a, "start").join(b, "tail").select("start", "n", "ra", "rb")
-            names = named if names is None else names.union(named)
-            if 2 * width > min_words:
-                break
-            left = level.select("pos", "doc_id", "key", "j", "rank", (F.col("pos") + size).alias("next"))
-            right = level.select(F.col("pos").alias("next"), F.col("doc_id").alias("doc_id2"), F.col("key").alias("key2"), F.col("j").alias("j2"), F.col("rank").alias("rank2"))
-            near = F.col("doc_id").eqNullSafe(F.col("doc_id2")) & (F.col("key") == F.col("key2")) & (F.col("j") + size == F.col("j2"))
-            pairs = left.join(right, "next").where(near).select("pos", "doc_id", "key", "j", F.col("rank").alias("ra"), F.col("rank2").alias("rb"))
-            pairs = stash.save(pairs, f"pairs{width}")
-            classes = ranks(pairs, "ra", "rb", f"classes{2 * width}")
-            width *= 2
-            level = stash.save(pairs.join(classes, ["ra", "rb"]).select("pos", "doc_id", "key", "j", "rank"), f"level{width}")
-            if level.isEmpty():
-                break
-
-        names = stash.save(names, "names")
-        earliest = names.groupBy("n", "ra", "rb").agg(F.min("start").alias("first"), F.count("*").alias("c")).where("c > 1").select("n", "ra", "rb", "first")
-        copies = names.join(earliest, ["n", "ra", "rb"]).where("start > first")
-        gone = copies.select(F.explode(F.expr("sequence(start, start + n - 1)")).alias("pos")).distinct()
+
+        # islands of enough words; pos - j is the same all over an island of a document
+        island = Window.partitionBy("doc_id", "key", "shift")
+        placed = active.select("doc_id", "key", (F.col("pos") - F.col("j")).alias("shift"), "pos", "rank", "words")
+        placed = placed.select("pos", "rank", "words", F.min("pos").over(island).alias("begin"), (F.max("pos").over(island) + 1).alias("end"), F.sum("words").over(island).alias("all"))
+        placed = stash.save(placed.where(F.col("all") >= min_words).drop("all"), "placed")
+        mark = lambda k: F.bit_xor(F.xxhash64(F.lit(k), "rank", F.col("pos") - F.col("begin")))
+        signed = stash.save(placed.groupBy("begin", "end").agg(mark(1).alias("s1"), mark(2).alias("s2")).withColumn("n", F.col("end") - F.col("begin")), "signed")
+        equal = stash.save(signed.groupBy("n", "s1", "s2").agg(F.min("begin").alias("earliest"), F.count("*").alias("c")).where("c > 1"), "equal")
+        copies = stash.save(hot_join(signed, equal, ["n", "s1", "s2"]).where("begin > earliest").select("begin", "n"), "copies")
+        kept = placed.join(copies.select("begin"), "begin", "left_anti")
+
+        runs = maximal_runs(suffix_runs(stash.save(kept.select("pos", "rank", "end"), "kept"), stash))
+        # words of a run: sums up to its last line less those before its first
+        upto = Window.partitionBy("end").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+        sums = stash.save(kept.select("pos", "words", F.sum("words").over(upto).alias("sum")), "sums")
+        runs = runs.withColumn("last", F.col("pos") + F.col("n") - 1).join(sums.select(F.col("pos").alias("last"), "sum"), "last")
+        runs = runs.join(sums.select("pos", (F.col("sum") - F.col("words")).alias("before")), "pos").where(F.col("sum") - F.col("before") >= min_words)
+        # maximal runs of an island end in the order in which they begin: each adds the lines behind the one before
+        done = F.lag("last").over(Window.partitionBy("end").orderBy("pos"))
+        new = runs.select(F.greatest(F.col("pos"), F.coalesce(done + 1, F.col("pos"))).alias("a"), F.col("last").alias("b")).where("a <= b")
+        gone = new.union(copies.selectExpr("begin", "begin + n - 1")).select(F.explode(F.sequence("a", "b")).alias("pos"))
         return cut(gone.join(active, "pos").select("doc_id", "key", "line"))
 
 
