@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,17 +18,32 @@ def shared_dir(spark: SparkSession) -> str:
     known = sc._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="recordloom-")
     sc.setCheckpointDir(folder)
     return folder
 
 
+def _path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint; Spark removes its files when the frame is no longer reachable."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cuts lineage: a table in the shared folder, computed once and removed when the session's JVM ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    fs, p = _path(spark, path)
+    fs.deleteOnExit(p)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class Stash:
@@ -46,15 +62,10 @@ class Stash:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
-        self._delete(f"{self.root}/{name}")
-
-    def _delete(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        delete(self.spark, f"{self.root}/{name}")
 
     def __exit__(self, *exc) -> None:
-        self._delete(self.root)
+        delete(self.spark, self.root)
 
 
 def pieces(spark: SparkSession, per_core: int = 1) -> int:

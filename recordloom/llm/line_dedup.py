@@ -30,19 +30,26 @@ def _doc_key(df: DataFrame) -> Column:
     return F.xxhash64(F.lit(17), F.col("doc_id"), F.col("text"))
 
 
-def hot_join(big: DataFrame, small: DataFrame, keys: list[str], count: str = "c") -> DataFrame:
-    """big joined with small, which has one row and the number of big's rows for each key.
+def _most(counted: DataFrame) -> tuple[int, int]:
+    """The greatest c and the sum of c; zeros for an empty table."""
+    got = counted.agg(F.max("c"), F.sum("c")).first()
+    return got[0] or 0, got[1] or 0
 
-    Keys with more than a thousandth of the rows, so at most a thousand keys, are
-    broadcast: none of them gathers its rows in one task. Both sides are read twice
-    and so should be saved.
+
+def hot_join(big: DataFrame, small: DataFrame, keys: list[str], most: tuple[int, int] | None = None) -> DataFrame:
+    """big joined with small, which has one row and in c the number of big's rows for each key.
+
+    Keys with more than a thousandth of the rows (and more than a thousand), so at
+    most a thousand keys, are broadcast: none of them gathers its rows in one task.
+    Both sides are read twice then and so should be saved.
     """
-    total = small.agg(F.sum(count)).first()[0] or 0
-    hot = small.where(F.col(count) * 1000 > total)
-    if hot.isEmpty():
+    top, total = most or _most(small)
+    limit = max(1000, total // 1000)
+    if top <= limit:
         return big.join(small, keys)
-    rest = big.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(small.where(F.col(count) * 1000 <= total), keys)
-    return big.join(F.broadcast(hot), keys).unionByName(rest)
+    hot = F.broadcast(small.where(F.col("c") > limit))
+    rest = big.join(F.broadcast(small.where(F.col("c") > limit).select(*keys)), keys, "left_anti").join(small.where(F.col("c") <= limit), keys)
+    return big.join(hot, keys).unionByName(rest)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -68,29 +75,35 @@ def suffix_runs(active: DataFrame, stash: Stash) -> DataFrame:
         pairs = stash.save(level.withColumnRenamed("rank", "ra").join(ahead, "pos").where("end = end2").select("pos", "ra", "rb", "end"), f"pairs{width}")
         classes = pairs.groupBy("ra", "rb").agg(F.count("*").alias("c")).where("c > 1").orderBy("ra", "rb").withColumn("rank", F.monotonically_increasing_id())
         classes = stash.save(classes, f"classes{width}")
-        if classes.isEmpty():
+        most = _most(classes)
+        if not most[0]:
             break
+        levels.append(stash.save(hot_join(pairs, classes, ["ra", "rb"], most).select("pos", "rank", "end"), f"level{2 * width}"))
+        stash.drop(f"pairs{width}")
         width *= 2
-        levels.append(stash.save(hot_join(pairs, classes, ["ra", "rb"]).select("pos", "rank", "end"), f"level{width}"))
     found = None  # pos, end; the interval: first and the end of its island, n
+    none = F.lit(None).cast("long")
     while levels:
         level = levels.pop()
         # places without a run so far: is the one of this width here a copy?
         fresh = level if found is None else level.join(found.select("pos"), "pos", "left_anti")
-        none = F.lit(-1).cast("long")
-        tried = fresh.select("pos", "end", none.alias("first"), F.lit(0).cast("long").alias("n"), "rank", F.lit(False).alias("seen"))
+        tried = fresh.select("pos", "end", F.lit(-1).cast("long").alias("first"), none.alias("first_end"), F.lit(0).cast("long").alias("n"), "rank", F.lit(False).alias("seen"))
         if found is not None:  # the first of an interval is asked too, but has its own run elsewhere
-            firsts = found.select(F.col("first").alias("pos"), F.col("first_end").alias("end"), "first", "n", F.lit(True).alias("seen")).distinct()
-            longer = found.select("pos", "end", "first", "n", F.lit(False).alias("seen")).unionByName(firsts).withColumn("at", F.col("pos") + F.col("n"))
-            longer = longer.join(level.select(F.col("pos").alias("at"), "rank", F.col("end").alias("end2")), "at").where("end = end2")
-            tried = tried.unionByName(longer.select("pos", "end", "first", "n", "rank", "seen"))
+            firsts = found.select(F.col("first").alias("pos"), F.col("first_end").alias("end"), "first", "first_end", "n", F.lit(True).alias("seen")).distinct()
+            longer = found.withColumn("seen", F.lit(False)).unionByName(firsts).withColumn("at", F.col("pos") + F.col("n"))
+            ahead = level.select(F.col("pos").alias("at"), "rank", F.col("end").alias("end2"))
+            longer = longer.join(ahead, "at").where("end = end2")
+            tried = tried.unionByName(longer.drop("at", "end2"))
         tried = stash.save(tried, f"tried{width}")
-        groups = tried.groupBy("first", "n", "rank").agg(F.min("pos").alias("earliest"), F.min_by("end", "pos").alias("earliest_end"), F.count("*").alias("c")).where("c > 1")
-        now = hot_join(tried, stash.save(groups, f"groups{width}"), ["first", "n", "rank"]).where("NOT seen AND pos > earliest")
+        groups = tried.groupBy("first", "n", "rank").agg(F.min("pos").alias("earliest"), F.min_by("end", "pos").alias("earliest_end"), F.count("*").alias("c"))
+        groups = stash.save(groups.where("c > 1"), f"groups{width}")
+        now = hot_join(tried.where("NOT seen"), groups, ["first", "n", "rank"]).where("pos > earliest")
         now = stash.save(now.select("pos", "end", F.col("earliest").alias("first"), F.col("earliest_end").alias("first_end"), (F.col("n") + width).alias("n")), f"now{width}")
-        found = now if found is None else stash.save(found.join(now.select("pos"), "pos", "left_anti").unionByName(now), f"found{width}")
-        for name in (f"tried{width}", f"groups{width}", f"pairs{width}", f"found{2 * width}"):
-            stash.drop(name)
+        found = now if found is None else found.join(now.select("pos"), "pos", "left_anti").unionByName(now)
+        if width > 1 and len(levels) % 3 == 0:
+            found = stash.save(found, f"found{width}")
+        stash.drop(f"tried{width}")
+        stash.drop(f"groups{width}")
         width //= 2
     return found.select("pos", "first", "n", "end")
 
@@ -109,7 +122,7 @@ def repeated_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
     with Stash(docs.sparkSession) as stash:
         rows = stash.save(lines_of(docs), "rows")
         # a whole row that stands again is the same document, so it is counted once
-        twice = stash.save(rows.where("j = 0").groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key"), "twice")
+        twice = rows.where("j = 0").groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key")
         if not twice.isEmpty():
             same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.key") == F.col("b.key"))
             again = rows.alias("a").join(twice.alias("b"), same, "left_semi").distinct()
