@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, functions as F
 
 # Characters that stand for each other, one for one.
@@ -47,9 +49,27 @@ def squeeze(text) -> Column:
     return F.trim(F.regexp_replace(col(text), r"(?U)\s+", " "))
 
 
+@cache
+def _case_foldings() -> tuple[str, str, dict[str, str]]:
+    """All letters that full case folding changes: those that become one letter, these letters, and those that become several."""
+    changed = {chr(c): chr(c).casefold() for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).casefold() != chr(c)}
+    one = {c: f for c, f in changed.items() if len(f) == 1}
+    return "".join(one), "".join(one.values()), {c: f for c, f in changed.items() if len(f) > 1}
+
+
+def caseless(text) -> Column:
+    """Full case folding."""
+    one, to, several = _case_foldings()
+    out = F.translate(col(text), one, to)
+    long = out
+    for c, f in several.items():
+        long = F.replace(long, F.lit(c), F.lit(f))
+    return F.when(F.rlike(out, F.lit(f"[{''.join(several)}]")), long).otherwise(out)
+
+
 def fold_label(text) -> Column:
     """Join key of labels: folded, blanks squeezed, caseless."""
-    return F.replace(F.replace(F.lower(squeeze(fold(text))), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+    return caseless(squeeze(fold(text)))
 
 
 def truncate(text, n: int) -> Column:

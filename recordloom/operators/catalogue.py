@@ -58,14 +58,14 @@ def type_designator(classes: DataFrame, attributes: DataFrame) -> DataFrame:
 def designated_type(records: DataFrame, classes: DataFrame) -> DataFrame:
     """(declared, named) -> adds class: the named one when it is the declared one or below it, else the declared."""
     a = ancestry(classes).select(F.col("class").alias("__c"), F.col("ancestor").alias("__a"))
-    return records.join(F.broadcast(a), (F.col("named") == F.col("__c")) & (F.col("declared") == F.col("__a")), "left").withColumn("class", F.coalesce("__c", "declared")).drop("__c", "__a")
+    return records.join(a, (F.col("named") == F.col("__c")) & (F.col("declared") == F.col("__a")), "left").withColumn("class", F.coalesce("__c", "declared")).drop("__c", "__a")
 
 
 def classify_slots(classes: DataFrame, attributes: DataFrame, enums: DataFrame) -> DataFrame:
     """Every class's attributes with kind: identifier, evidence, nested, reference or native."""
     a = attributes_for(classes, attributes)
     names = classes.select(F.col("class").alias("range"), F.lit(True).alias("is_class"))
-    a = a.join(F.broadcast(names), "range", "left").join(F.broadcast(enums.select(F.col("enum").alias("range"), F.lit(True).alias("is_enum"))), "range", "left")
+    a = a.join(names, "range", "left").join(enums.select(F.col("enum").alias("range"), F.lit(True).alias("is_enum")), "range", "left")
     kind = (
         F.when(F.col("identifier"), "identifier").when(F.startswith("range", F.lit("Extracted")), "evidence")
         .when(F.col("is_class") & F.col("inlined"), "nested").when(F.col("is_class"), "reference").otherwise("native")
@@ -101,7 +101,7 @@ def project(attributes: DataFrame, enums: DataFrame) -> tuple[DataFrame, DataFra
     wrappers (lists one wrapper over a list); class ranges stay. Attributes marked
     deterministic go.
     """
-    a = attributes.where("NOT array_contains(subsets, 'deterministic')").join(F.broadcast(enums.select(F.col("enum").alias("range"), F.lit(True).alias("is_enum"))), "range", "left")
+    a = attributes.where("NOT array_contains(subsets, 'deterministic')").join(enums.select(F.col("enum").alias("range"), F.lit(True).alias("is_enum")), "range", "left")
     base = F.lit(None).cast("string")
     for name, wrapper in WRAPPERS.items():
         base = F.when(F.col("range") == name, wrapper).otherwise(base)
@@ -190,6 +190,27 @@ def prune(classes: DataFrame, attributes: DataFrame, subset: str, root: DataFram
     return alive, lost
 
 
+def entity_lists(classes: DataFrame, attributes: DataFrame, root: DataFrame) -> DataFrame:
+    """key, path: the lists that a payload may hold. Those of the root class first, then those of its inlined single parts (one level, in their order); of one key the first counts."""
+    all_ = attributes_for(classes, attributes).select("class", "attr", "ord", "range", "multivalued", "inlined")
+    top = all_.join(root, "class", "left_semi")
+    direct = top.where("multivalued").select(F.col("attr").alias("key"), F.col("attr").alias("path"), F.lit(-1).alias("a"), F.col("ord").alias("b"))
+    parts = top.where("NOT multivalued AND inlined").select(F.col("attr").alias("part"), F.col("ord").alias("a"), F.col("range").alias("class"))
+    inner = parts.join(all_.where("multivalued").select("class", "attr", F.col("ord").alias("b")), "class").select(F.col("attr").alias("key"), F.concat_ws(".", "part", "attr").alias("path"), "a", "b")
+    return direct.union(inner).groupBy("key").agg(F.min_by("path", F.struct("a", "b")).alias("path"))
+
+
+def unknown_rule_slots(rules: DataFrame, classes: DataFrame, attributes: DataFrame) -> DataFrame:
+    """(class, rule, slot) -> class, rule, slots: the slots that a rule names and its class doesn't have, sorted and joined."""
+    have = attributes_for(classes, attributes).select("class", F.col("attr").alias("slot"))
+    return rules.join(have, ["class", "slot"], "left_anti").groupBy("class", "rule").agg(F.array_join(F.array_sort(F.collect_set("slot")), ", ").alias("slots"))
+
+
+def unstated_members(members: DataFrame) -> DataFrame:
+    """(enum, member): vocabularies that offer ``unstated``, which only a status may say."""
+    return members.where("member = 'unstated'").select("enum").distinct()
+
+
 def two_way(left: DataFrame, right: DataFrame, key: str, allowed: DataFrame | None = None) -> DataFrame:
     """key, side: missing (left only), extra (right only) or common; allowed keys are left out."""
     l, r = left.select(key).distinct().withColumn("l", F.lit(True)), right.select(key).distinct().withColumn("r", F.lit(True))

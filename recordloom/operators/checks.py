@@ -11,8 +11,9 @@ from .closure import closure, cycles
 def undeclared_and_missing(keys: DataFrame, declared: DataFrame, required: DataFrame, owner: str) -> DataFrame:
     """(owner, key) against (key) -> owner, key, code: undeclared, or missing for an owner without a required key."""
     extra = keys.join(declared.select("key"), "key", "left_anti").select(owner, "key", F.lit("undeclared").alias("code"))
-    wanted = keys.select(owner).distinct().join(F.broadcast(required.select("key")))
-    return extra.union(wanted.join(keys, [owner, "key"], "left_anti").select(owner, "key", F.lit("missing")))
+    wanted = required.agg(F.collect_set("key").alias("__wanted"))  # one row: a class's required keys
+    have = keys.groupBy(owner).agg(F.collect_set("key").alias("__have")).join(wanted)
+    return extra.union(have.select(owner, F.explode(F.array_except("__wanted", "__have")).alias("key"), F.lit("missing")))
 
 
 def shape(kind: Column, multivalued: Column) -> Column:
@@ -20,6 +21,16 @@ def shape(kind: Column, multivalued: Column) -> Column:
     return F.when(multivalued & (kind != "ARRAY"), "list_expected").when(~multivalued & (kind == "ARRAY"), "single_expected").otherwise("ok")
 
 
+def slot_shape(kind: Column, slot: Column, multivalued: Column, value: Column) -> Column:
+    """ok, or how a node (its type, of flatten, and its text) doesn't fit its slot: list-ness first, then identifiers and references, which are texts."""
+    single = slot.isin("evidence", "nested")
+    return (
+        F.when(multivalued & (kind != "ARRAY"), "list_expected").when(~multivalued & single & (kind == "ARRAY"), "single_expected")
+        .when(~multivalued & (slot == "identifier") & ((kind != "STRING") | (F.coalesce(value, F.lit("")) == "")), "identifier_not_text")
+        .when(~multivalued & (slot == "reference") & (kind != "STRING"), "reference_not_text").otherwise("ok")
+    )
+
+
 def scalar(kind: Column, declared: Column, value: Column, minimum: Column | None = None) -> Column:
     """ok, wrong_type or below_minimum; a truth value is no integer, an integer is a float."""
     integer = (kind == "BIGINT") | (F.startswith(kind, F.lit("DECIMAL")) & F.endswith(kind, F.lit(",0)")))

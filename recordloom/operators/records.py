@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import fold_label
+from ..session import cut
 
 #: The two legal statuses of a wrapped fact. (fixed values)
 STATUSES = ("extracted", "not_reported")
@@ -39,17 +40,16 @@ def merge_payloads(payloads: DataFrame, entity_lists: list[str]) -> tuple[DataFr
 
 
 def flatten(records: DataFrame) -> DataFrame:
-    """(id, record VARIANT) -> id, path, kind, value: every node, ``a.b[0].c`` paths; kind is Spark's name of the type."""
+    """(id, record VARIANT) -> id, path, kind, value: every node, ``a.b[0].c`` paths; kind is Spark's name of the type. One round a level, until none is left."""
     spark = records.sparkSession
-    for key in ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit"):
-        spark.conf.set(key, "-1")
-    sql = """WITH RECURSIVE node(id, path, value) AS (
-      SELECT id, '', record FROM {r}
-      UNION ALL
-      SELECT n.id, CASE WHEN x.key IS NULL THEN concat(n.path, '[', x.pos, ']') WHEN n.path = '' THEN x.key ELSE concat(n.path, '.', x.key) END, x.value
-      FROM node n, LATERAL variant_explode(n.value) x WHERE schema_of_variant(n.value) LIKE 'OBJECT%' OR schema_of_variant(n.value) LIKE 'ARRAY%')
-    SELECT id, path, CASE WHEN schema_of_variant(value) LIKE 'OBJECT%' THEN 'OBJECT' WHEN schema_of_variant(value) LIKE 'ARRAY%' THEN 'ARRAY' ELSE schema_of_variant(value) END AS kind, value FROM node WHERE path != ''"""
-    return spark.sql(sql, r=records.select("id", "record"))
+    shape = "CASE WHEN schema_of_variant(value) LIKE 'OBJECT%' THEN 'OBJECT' WHEN schema_of_variant(value) LIKE 'ARRAY%' THEN 'ARRAY' ELSE schema_of_variant(value) END"
+    level, out = records.selectExpr("id", "'' AS path", "record AS value").selectExpr("*", f"{shape} AS kind"), None
+    while True:
+        step = "SELECT n.id, CASE WHEN x.key IS NULL THEN concat(n.path, '[', x.pos, ']') WHEN n.path = '' THEN x.key ELSE concat(n.path, '.', x.key) END AS path, x.value FROM {n} n, LATERAL variant_explode(n.value) x"
+        level = cut(spark.sql(step, n=level.where("kind IN ('OBJECT', 'ARRAY')")).selectExpr("*", f"{shape} AS kind").select("id", "path", "kind", "value"))
+        if out is not None and level.isEmpty():
+            return out
+        out = level if out is None else out.union(level)
 
 
 def wrappers(records: DataFrame) -> DataFrame:
@@ -117,6 +117,30 @@ def merge_evidence(fields: DataFrame, found: DataFrame, keys: list[str]) -> Data
     return out.withColumn("evidence", status).withColumn("value", F.when(F.col("status") == "extracted", F.col("value"))).drop("__hit")
 
 
+def walk_quotes(fields: DataFrame, quotes: DataFrame, keys: list[str]) -> DataFrame:
+    """Fields (keys, status, evidence) with their quotes (keys, set_no, quote_no, start_char, end_char; nulls: not found) -> adds quotes, resolved, sets, downgraded.
+
+    Failed quotes go, and sets without any. With a set left the evidence is present;
+    else it is not_found for an extracted field (downgraded) and not_applicable for
+    others. A field without any quote keeps its evidence, but an extracted one can't
+    be not_applicable. ``sets`` is an array of arrays of spans, in order.
+    """
+    hit = F.col("start_char").isNotNull()
+    one = quotes.groupBy(*keys, "set_no").agg(F.count("*").alias("n"), F.count_if(hit).alias("r"), F.array_sort(F.collect_list(F.when(hit, F.struct("quote_no", "start_char", "end_char")))).alias("q"))
+    spans = F.transform("q", lambda x: F.struct(x["start_char"].alias("start_char"), x["end_char"].alias("end_char")))
+    sets = F.array_sort(F.collect_list(F.when(F.col("r") > 0, F.struct("set_no", spans.alias("spans")))))
+    by = one.groupBy(*keys).agg(F.sum("n").alias("quotes"), F.sum("r").alias("resolved"), sets.alias("sets"))
+    out = fields.join(by.withColumn("sets", F.col("sets.spans")), keys, "left")
+    tried, extracted = F.col("quotes").isNotNull(), F.col("status") == "extracted"
+    evidence = (
+        F.when(F.col("resolved") > 0, "present").when(tried & extracted, "not_found").when(tried, "not_applicable")
+        .when(extracted & (F.col("evidence") == "not_applicable"), "not_found").otherwise(F.col("evidence"))
+    )
+    lost = F.coalesce(extracted & F.when(tried, F.col("resolved") == 0).otherwise(F.col("evidence") == "not_applicable"), F.lit(False))
+    out = out.withColumn("downgraded", lost).withColumn("evidence", evidence)
+    return out.withColumn("quotes", F.coalesce("quotes", F.lit(0).cast("long"))).withColumn("resolved", F.coalesce("resolved", F.lit(0).cast("long")))
+
+
 def batches(rows: DataFrame, group: list[str], order: str, size: int = 50) -> DataFrame:
     """Adds batch: rows numbered in order, ``size`` to a batch."""
     return rows.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(*group).orderBy(order)) - 1) / size))
@@ -135,6 +159,25 @@ def normalize_keys(rows: DataFrame, lists: list[str], allowed: list[str]) -> Dat
     return out.withColumn("new_path", F.when(F.regexp_replace("new_path", r"^study\.", "").isin(*allowed, "study"), F.col("new_path")))
 
 
+def nested_wins(rows: DataFrame, part: str = "study.design", lists: tuple[str, ...] = NESTED_WINS) -> DataFrame:
+    """(id, path) -> adds dropped: a top-level list goes where the same payload has it inside ``part`` too."""
+    inside = rows.where(F.col("path").isin(*[f"{part}.{x}" for x in lists])).select("id", F.substring_index("path", ".", -1).alias("path"), F.lit(True).alias("__in")).distinct()
+    return rows.join(inside, ["id", "path"], "left").withColumn("dropped", F.coalesce("__in", F.lit(False))).drop("__in")
+
+
+def required_entities(analyses: DataFrame, declared: DataFrame, effect: str) -> tuple[DataFrame, DataFrame]:
+    """(id, local_id, kind, label, effect) and (id, local_id, kind, label) -> analyses with an effect; declared entities with those that the others declare.
+
+    An analysis without an effect is a declaration in the wrong list. A local_id that
+    is declared already stays as it is; of several new ones the smallest row counts.
+    """
+    columns = ["id", "local_id", "kind", "label"]
+    moved = analyses.where(F.col(effect).isNull()).select(*columns)
+    new = moved.join(declared.select("id", "local_id"), ["id", "local_id"], "left_anti")
+    new = new.groupBy("id", "local_id").agg(F.min(F.struct("kind", "label")).alias("x")).select("id", "local_id", "x.kind", "x.label")
+    return analyses.where(F.col(effect).isNotNull()), declared.select(*columns).union(new.select(*columns))
+
+
 def missing_after(declared: DataFrame, present: DataFrame, group: list[str], key: str, most: int = 8) -> DataFrame:
     """group, n, first: declared ids that aren't there; the first few in order, joined."""
     gone = declared.join(present.select(*group, key).distinct(), [*group, key], "left_anti").select(*group, key).distinct()
@@ -161,15 +204,32 @@ def table_block(points: DataFrame) -> DataFrame:
     return t.withColumn("index", F.row_number().over(Window.partitionBy("study_id").orderBy("p"))).drop("p")
 
 
+def first_points(points: DataFrame, group: list[str], order: list[str], label: Column, most: int = 40) -> DataFrame:
+    """group, n, head, rest: the labels of the first points in order, one a line, and how many more there are."""
+    k = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    g = points.withColumn("__label", label).withColumn("__k", k).groupBy(*group)
+    g = g.agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.when(F.col("__k") <= most, F.struct("__k", "__label")))).alias("h"))
+    return g.select(*group, "n", F.array_join("h.__label", "\n").alias("head"), F.greatest(F.col("n") - most, F.lit(0).cast("long")).alias("rest"))
+
+
 def index_free(path) -> Column:
     return F.regexp_replace(path, r"\[\d+\]", "")
 
 
 def partition_allowed(findings: DataFrame, allowed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Findings left and suppressed by (path, message) entries: a given path must match without indexes, a given message must be contained; an empty entry matches nothing."""
-    entries = allowed.where("coalesce(path, '') != '' OR coalesce(message, '') != ''").select(F.col("path").alias("__p"), F.col("message").alias("__m"))
-    hit = ((F.coalesce("__p", F.lit("")) == "") | (index_free("path") == index_free("__p"))) & ((F.coalesce("__m", F.lit("")) == "") | F.contains("message", "__m"))
-    return findings.join(F.broadcast(entries), hit, "left_anti"), findings.join(F.broadcast(entries), hit, "left_semi")
+    """Findings left and suppressed by (path, message) entries: a given path must match without indexes, a given message must be contained; an empty entry matches nothing.
+
+    Entries with a path are an equi-join; only those of a message alone are compared
+    with each finding, so their number should stay small.
+    """
+    entries = allowed.select(F.coalesce("path", F.lit("")).alias("__p"), F.coalesce("message", F.lit("")).alias("__m"))
+    said = F.contains(F.coalesce("message", F.lit("")), F.col("__m"))
+    placed = (index_free("path") == F.col("__q")) & said
+    with_path = entries.where("__p != ''").withColumn("__q", index_free("__p")).drop("__p")
+    alone = entries.where("__p = '' AND __m != ''").drop("__p")
+    rest = findings.join(with_path, placed, "left_anti")
+    gone = findings.join(with_path, placed, "left_semi").unionByName(rest.join(alone, said, "left_semi"))
+    return rest.join(alone, said, "left_anti"), gone
 
 
 def build_report(fields: DataFrame, by: list[str]) -> DataFrame:
@@ -196,3 +256,12 @@ def diff_report(a: DataFrame, b: DataFrame, key: str, name: str) -> DataFrame:
     l = a.select(key, F.row_number().over(w).alias("pos"), F.col(name).alias("left"))
     r = b.select(key, F.row_number().over(w).alias("pos"), F.col(name).alias("right"))
     return l.join(r, [key, "pos"], "full_outer").withColumn("same", F.col("left").eqNullSafe(F.col("right")))
+
+
+def diff_summary(a: DataFrame, b: DataFrame, key: str, name: str, points: str) -> DataFrame:
+    """Both sides of a key in figures: n_left, n_right, points_left, points_right, only_left, only_right (names, sorted and joined; empty if none)."""
+    both = a.select(key, name, points, F.lit(0).alias("__s")).union(b.select(key, name, points, F.lit(1)))
+    per = both.groupBy(key, name).agg(*[F.count_if(F.col("__s") == k).alias(f"n{k}") for k in (0, 1)], *[F.sum(F.when(F.col("__s") == k, F.col(points))).alias(f"p{k}") for k in (0, 1)])
+    only = lambda k: F.array_join(F.array_sort(F.collect_list(F.when(F.col(f"n{1 - k}") == 0, F.col(name)))), ", ")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return per.groupBy(key).agg(total("n0").alias("n_left"), total("n1").alias("n_right"), total("p0").alias("points_left"), total("p1").alias("points_right"), only(0).alias("only_left"), only(1).alias("only_right"))

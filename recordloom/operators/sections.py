@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import squeeze
 
@@ -26,16 +26,32 @@ def build_sections(docs: DataFrame) -> DataFrame:
 
     A section ends at the next heading of its level or higher, else with the text.
     Headings without a title make no section but end others. The parent is the
-    latest earlier section of a lower level.
+    latest earlier section of a lower level. Both come from one fold over a
+    document's headings with a stack of rising levels.
     """
     h = headings(docs)
-    a, b = h.alias("a"), h.alias("b")
-    ends = a.join(b, (F.col("a.doc_id") == F.col("b.doc_id")) & (F.col("b.ordinal") > F.col("a.ordinal")) & (F.col("b.level") <= F.col("a.level")), "left")
-    ends = ends.groupBy("a.doc_id", "a.ordinal", "a.title", "a.level", "a.start_char", "a.n_chars").agg(F.min("b.start_char").alias("next"))
-    s = ends.where("title != ''").select("doc_id", "ordinal", "title", "level", "start_char", F.coalesce("next", "n_chars").alias("end_char"))
-    a, b = s.alias("a"), s.alias("b")
-    up = a.join(b, (F.col("a.doc_id") == F.col("b.doc_id")) & (F.col("b.ordinal") < F.col("a.ordinal")) & (F.col("b.level") < F.col("a.level")), "left")
-    return up.groupBy("a.doc_id", "a.ordinal", "a.title", "a.level", "a.start_char", "a.end_char").agg(F.max_by("b.title", "b.ordinal").alias("parent_section"))
+    own = F.array_sort(F.collect_list(F.struct("ordinal", "level", "title", "start_char")))
+    h = h.groupBy("doc_id").agg(F.first("n_chars").alias("n_chars"), own.alias("h"))
+
+    def fold(rows: Column, value: Column, inclusive: bool) -> Column:
+        """For each row the value of the last row before it with a lower (or equal) level; rows without a value are passed by."""
+        kind = "array<struct<level:bigint,value:string>>"
+
+        def step(acc: Column, x: Column) -> Column:
+            lower = F.filter(acc["stack"], lambda y: (y["level"] <= x["level"]) if inclusive else (y["level"] < x["level"]))
+            kept = F.filter(acc["stack"], lambda y: y["level"] < x["level"])
+            mine = value(x)
+            stack = F.when(mine.isNull(), acc["stack"]).otherwise(F.concat(kept, F.array(F.struct(x["level"].alias("level"), mine.alias("value")))))
+            return F.struct(stack.alias("stack"), F.concat(acc["out"], F.array(F.get(lower, F.size(lower) - 1)["value"])).alias("out"))
+
+        start = F.struct(F.array().cast(kind).alias("stack"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(rows, start, step, lambda acc: acc["out"])
+
+    ends = F.reverse(fold(F.reverse("h"), lambda x: x["start_char"].cast("string"), True))
+    parents = fold(F.col("h"), lambda x: F.nullif(x["title"], F.lit("")), False)
+    s = h.select("doc_id", "n_chars", F.explode(F.arrays_zip("h", ends.alias("next"), parents.alias("parent"))).alias("x"))
+    s = s.select("doc_id", "x.h.ordinal", "x.h.title", "x.h.level", F.col("x.parent").alias("parent_section"), "x.h.start_char", F.coalesce(F.col("x.next").cast("long"), "n_chars").alias("end_char"))
+    return s.where("title != ''").select("doc_id", "ordinal", "title", "level", "start_char", "end_char", "parent_section")
 
 
 def section_path(sections: DataFrame, offsets: DataFrame) -> DataFrame:
@@ -49,8 +65,15 @@ def section_path(sections: DataFrame, offsets: DataFrame) -> DataFrame:
     return at.groupBy("doc_id", "offset").agg(trail.alias("t")).select("doc_id", "offset", F.nullif(F.array_join("t.title", " > "), F.lit("")).alias("path"))
 
 
-def slice_section(docs: DataFrame, title: str) -> DataFrame:
-    """doc_id, text of the first section with that title."""
+def slice_section(docs: DataFrame, title: str, missing: str = "error") -> DataFrame:
+    """doc_id, text of the first section with that title.
+
+    A document without one fails the query (``missing="error"``), or comes back with
+    a null text (``missing="null"``).
+    """
     s = build_sections(docs).where(F.col("title") == title)
     s = s.groupBy("doc_id").agg(F.min_by(F.struct("start_char", "end_char"), "ordinal").alias("s"))
-    return docs.join(s, "doc_id").select("doc_id", F.substring(F.col("text"), F.col("s.start_char").cast("int") + 1, (F.col("s.end_char") - F.col("s.start_char")).cast("int")).alias("text"))
+    part = F.substring(F.col("text"), F.col("s.start_char").cast("int") + 1, (F.col("s.end_char") - F.col("s.start_char")).cast("int"))
+    if missing == "error":
+        part = F.when(F.col("s").isNull(), F.raise_error(F.concat(F.lit(f"no heading '{title}' in document "), F.col("doc_id").cast("string"))).cast("string")).otherwise(part)
+    return docs.join(s, "doc_id", "left").select("doc_id", part.alias("text"))

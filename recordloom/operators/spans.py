@@ -5,16 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import fold
+from ..session import spread
 
-#: Quotes of at most so many characters in all are sent to every task.
-BROADCAST_CHARS = 4_000_000
+#: Quotes without a whole inner word are sent to the tasks in blocks of so many characters.
+BLOCK_CHARS = 4_000_000
+#: Words that identify a quote: the second to the fifth.
+WIDTH = 4
+#: White space that folding leaves, each one for one; a space separates words.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\u00a0"
 
 
-def starts_of(text: str, quote: str) -> Column:
-    """Starts of all non-overlapping occurrences of a literal, ascending."""
+def nearest_start(text: str, quote: str, near: str) -> Column:
+    """Start of the non-overlapping occurrence of a literal that is nearest to a place (the first of equals), else null: one running sum."""
     parts = F.split(F.col(text), F.concat(F.lit(r"\Q"), F.replace(F.col(quote), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")), -1)
-    heads = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda k: F.aggregate(F.slice(parts, 1, k), F.lit(0), lambda a, p: a + F.length(p)) + (k - 1) * F.length(F.col(quote)))
-    return F.when(F.size(parts) > 1, heads).otherwise(F.array().cast("array<int>"))
+    size, at = F.length(quote), F.col(near).cast("long")
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit(None).cast("long").alias("best"))
+
+    def step(acc: Column, part: Column) -> Column:
+        here = acc["at"] + F.length(part)
+        better = acc["best"].isNull() | (F.abs(here - at) < F.abs(acc["best"] - at))
+        return F.struct((here + size).alias("at"), F.when(better, here).otherwise(acc["best"]).alias("best"))
+
+    return F.aggregate(F.slice(parts, F.lit(1), F.size(parts) - 1), start, step, lambda acc: acc["best"])
 
 
 def tolerant_pattern(quote: Column) -> Column:
@@ -24,24 +36,14 @@ def tolerant_pattern(quote: Column) -> Column:
     return F.concat(F.lit("(?U)"), F.array_join(quoted, r"\s+"))
 
 
-def _spread(docs: DataFrame) -> DataFrame:
-    """At least as many partitions as the session deals a shuffle to, so that a scan of few files feeds all cores."""
-    return docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
+def words_of(text: Column) -> Column:
+    """Words between white space."""
+    return F.filter(F.split(F.translate(text, WHITE, " " * len(WHITE)), " "), lambda t: t != "")
 
-def find_exact(docs: DataFrame, quotes: DataFrame, limit: int = BROADCAST_CHARS) -> DataFrame:
-    """(doc_id, text) and (item_id, quote) -> doc_id, item_id, start_char, end_char of each quote's first place.
 
-    Few quotes are broadcast after their size is known; many go through their word
-    4-grams: an inner 4-gram of the quote must be one of the document, so an
-    equi-join finds the pairs to read.
-    """
-    quotes = quotes.where("quote IS NOT NULL AND trim(quote) != ''")
-    size = quotes.agg(F.sum(F.length("quote"))).first()[0] or 0
-    if size <= limit:
-        pairs = _spread(docs).join(F.broadcast(quotes), F.contains("text", "quote"))
-    else:
-        pairs = by_anchor(docs, quotes, lambda c: c).where(F.contains("text", "quote"))
+def find_exact(docs: DataFrame, quotes: DataFrame) -> DataFrame:
+    """(doc_id, text) and (item_id, quote) -> doc_id, item_id, start_char, end_char of each quote's first place."""
+    pairs = by_anchor(docs, quotes.where("quote IS NOT NULL AND trim(quote) != ''"), lambda c: c).where(F.contains("text", "quote"))
     found = pairs.withColumn("start_char", F.expr("locate(quote, text)").cast("long") - 1)
     return found.select("doc_id", "item_id", "start_char", (F.col("start_char") + F.length("quote")).alias("end_char"))
 
@@ -49,28 +51,32 @@ def find_exact(docs: DataFrame, quotes: DataFrame, limit: int = BROADCAST_CHARS)
 def by_anchor(docs: DataFrame, quotes: DataFrame, form) -> DataFrame:
     """Pairs of documents and quotes that may match once formed: those that share the quote's anchor.
 
-    Inner tokens of a quote are whole tokens of any text that holds it. Six tokens or
-    more: tokens 2 to 5 as one 4-gram; three to five: the longest inner token. Shorter
-    quotes have no whole token; they are searched for directly, in blocks of bounded
-    size.
+    Inner words of a quote are whole words of any text that holds it. Six words or
+    more: words 2 to 5, hashed to one number; three to five: the longest inner word.
+    The documents' word runs become rows of numbers in generated code and meet the
+    anchors in an equi-join, whose side Spark broadcasts when it is small. Shorter
+    quotes have no whole word; they are searched for directly, in blocks of bounded
+    size. Equal hashes of other words only bring a pair too many.
     """
-    tokens = lambda c: F.filter(F.split(form(F.col(c)), r"(?U)\s+"), lambda t: t != "")
-    q, d = quotes.withColumn("t", tokens("quote")), docs.select("doc_id", tokens("text").alias("t"))
-    long, middle, short = q.where("size(t) >= 6"), q.where("size(t) BETWEEN 3 AND 5"), q.where("size(t) < 3").drop("t")
-    long = long.withColumn("gram", F.array_join(F.slice("t", 2, 4), " ")).drop("t")
+    q = quotes.withColumn("t", words_of(form(F.col("quote"))))
+    long, middle, short = q.where(F.size("t") >= WIDTH + 2), q.where(F.size("t").between(3, WIDTH + 1)), q.where("size(t) < 3").drop("t")
+    counts = q.agg(F.count_if(F.size("t").between(3, WIDTH + 1)).alias("middle"), F.coalesce(F.sum(F.when(F.size("t") < 3, F.length("quote"))), F.lit(0)).alias("chars")).first()
     inner = F.array_sort(F.transform(F.slice(F.col("t"), F.lit(2), F.size("t") - 2), lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t"))))
-    middle = middle.withColumn("gram", inner[0]["t"]).drop("t")
-    grams = d.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("t") - 3, F.lit(1))), lambda k: F.array_join(F.slice("t", k, 4), " ")))).alias("gram"))
-    hits = grams.join(long, "gram").drop("gram").distinct()
-    if not middle.isEmpty():
-        hits = hits.unionByName(d.select("doc_id", F.explode(F.array_distinct("t")).alias("gram")).join(middle, "gram").drop("gram").distinct())
+    d = spread(docs.select("doc_id", "text")).select("doc_id", words_of(form(F.col("text"))).alias("t"))
+
+    def met(width: int, anchors: DataFrame) -> DataFrame:
+        runs = d.where(F.size("t") >= width).select("doc_id", "t", F.explode(F.sequence(F.lit(1), F.size("t") - (width - 1))).alias("k"))
+        return runs.select("doc_id", F.xxhash64(F.slice("t", F.col("k"), F.lit(width))).alias("gram")).join(anchors, "gram").drop("gram").distinct()
+
+    hits = met(WIDTH, long.withColumn("gram", F.xxhash64(F.slice("t", 2, WIDTH))).drop("t"))
+    if counts["middle"]:
+        hits = hits.unionByName(met(1, middle.withColumn("gram", F.xxhash64(F.array(inner[0]["t"]))).drop("t")))
     pairs = docs.join(hits, "doc_id")
-    chars = short.agg(F.sum(F.length("quote"))).first()[0] or 0
-    blocks = -(-chars // BROADCAST_CHARS)
+    blocks = -(-counts["chars"] // BLOCK_CHARS)
     for k in range(blocks):
         part = short.where(F.pmod(F.xxhash64("quote"), F.lit(blocks)) == k)
         first = F.regexp_extract(form(F.col("quote")), r"(?U)^\s*(\S+)", 1)
-        pairs = pairs.unionByName(_spread(docs).join(F.broadcast(part), F.contains(form(F.col("text")), first)).select(*pairs.columns))
+        pairs = pairs.unionByName(spread(docs).join(F.broadcast(part), F.contains(form(F.col("text")), first)).select(*pairs.columns))
     return pairs
 
 
@@ -81,15 +87,12 @@ def resolve(pairs: DataFrame, near: str | None = None) -> DataFrame:
     of equals). Else folded texts are matched token by token with any white space
     between; the span is always the document's own text.
     """
-    out = pairs.withColumn("__at", F.when(F.contains("text", "quote") & (F.trim("quote") != ""), starts_of("text", "quote")))
-    if near:
-        best = F.array_min(F.transform("__at", lambda s: F.struct(F.abs(s - F.col(near)).alias("d"), s.alias("s"))))["s"]
-    else:
-        best = F.get("__at", F.lit(0))
-    miss = F.col("__at").isNull() | (F.size("__at") < 1)
+    best = nearest_start("text", "quote", near) if near else F.expr("locate(quote, text)").cast("long") - 1
+    out = pairs.withColumn("__at", F.when(F.contains("text", "quote") & (F.trim("quote") != ""), best))
+    miss = F.col("__at").isNull()
     out = out.withColumn("__folded", F.when(miss, fold("text"))).withColumn("__hit", F.when(miss & (F.trim("quote") != ""), F.call_function("regexp_extract", F.col("__folded"), tolerant_pattern(F.col("quote")), F.lit(0))))
     loose = F.when(F.length("__hit") > 0, F.expr("locate(__hit, __folded) - 1"))
-    out = out.withColumn("start_char", F.when(miss, loose).otherwise(best).cast("long"))
+    out = out.withColumn("start_char", F.when(miss, loose).otherwise(F.col("__at")).cast("long"))
     out = out.withColumn("end_char", F.col("start_char") + F.when(miss, F.length("__hit")).otherwise(F.length("quote")))
     out = out.withColumn("span", F.substring(F.col("text"), F.col("start_char").cast("int") + 1, (F.col("end_char") - F.col("start_char")).cast("int")))
     return out.withColumn("exact", F.when(F.col("start_char").isNotNull(), ~miss)).drop("__at", "__folded", "__hit")
@@ -110,6 +113,17 @@ def verify(text: str, start: str, end: str, span: str) -> Column:
     )
 
 
+def require_true(rows: DataFrame, text: str, start: str, end: str, span: str) -> DataFrame:
+    """The rows, if every span is true; the first one that isn't fails the query."""
+    status = verify(text, start, end, span)
+    return rows.where(F.when(status != "ok", F.raise_error(F.concat(F.lit("span "), status)).cast("boolean")).otherwise(True))
+
+
+def leftover(text: str) -> Column:
+    """How many placeholders a text still has; after placing the tables there must be none."""
+    return F.regexp_count(F.col(text), F.lit(r"\[placeholder-")).cast("long")
+
+
 def resolve_all(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Found and failed rows."""
     return resolved.where("start_char IS NOT NULL"), resolved.where("start_char IS NULL")

@@ -66,6 +66,12 @@ def compared_axis(cells: DataFrame, level_entities: DataFrame, group: list[str])
     return j.groupBy(*group).agg(F.array_join(F.array_sort(F.collect_set("slot")), ",").alias("axis"))
 
 
+def members(analyses: DataFrame, acquired: DataFrame, analysis: str) -> DataFrame:
+    """(analysis, groups array<struct(group, n)>) and (group, acquired) -> analysis, group, n, acquired, dropped: who was in it, and how many of a cohort were left out."""
+    each = analyses.select(analysis, F.explode("groups").alias("g")).select(analysis, "g.group", "g.n")
+    return each.join(acquired, "group", "left").select(analysis, "group", "n", "acquired", F.greatest(F.col("acquired") - F.col("n"), F.lit(0)).alias("dropped"))
+
+
 def deterministic_id(*parts: Column) -> Column:
     """A stable id of study, class, table, label and position; null parts are empty."""
     return F.sha2(F.concat_ws("\u001f", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import catalogue, checks, records, tables, text
+from . import assembly, catalogue, checks, records, tables, text
 
-FAMILIES = [text, catalogue, tables, records, checks]
+FAMILIES = [text, catalogue, tables, records, checks, assembly]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -53,9 +53,11 @@ def cycle_detect(t: Tables) -> DataFrame:
 
 
 @query("""SELECT coalesce(a.k, b.k) AS nation, CASE WHEN b.k IS NULL THEN 'missing' WHEN a.k IS NULL THEN 'extra' ELSE 'common' END AS side
-FROM (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal > 9000) a FULL JOIN (SELECT DISTINCT s_nationkey AS k FROM supplier WHERE s_acctbal > 5000) b ON a.k = b.k""")
+FROM (SELECT c_nationkey AS k FROM customer UNION SELECT -1) a FULL JOIN (SELECT s_nationkey AS k FROM supplier UNION SELECT -2) b ON a.k = b.k""")
 def identity_diff(t: Tables) -> DataFrame:
+    """All nations of customers against all of suppliers, with a key of its own on either side."""
     a, b = t.customer.select(F.col("c_nationkey").alias("nation")), t.supplier.select(F.col("s_nationkey").alias("nation"))
+    a, b = (x.union(t.spark.range(1).select(F.lit(k).cast(x.schema[0].dataType))) for x, k in ((a, -1), (b, -2)))
     return C.two_way(a, b, "nation")
 
 

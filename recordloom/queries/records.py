@@ -93,9 +93,11 @@ def threshold_gate(t: Tables) -> DataFrame:
     return R.gate(R.build_report(_fields(t), ["source"]), "not_found", "extracted").select("source", "not_found", "extracted", "failed")
 
 
-@query("SELECT item_id, CAST((row_number() OVER (ORDER BY item_id) - 1) // 50 AS BIGINT) AS batch FROM benchmark")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CAST((row_number() OVER (PARTITION BY l_suppkey ORDER BY (l_orderkey, l_linenumber, l_partkey)) - 1) // 50 AS BIGINT) AS batch FROM lineitem")
 def batch_50(t: Tables) -> DataFrame:
-    return R.batches(t.benchmark.withColumn("g", F.lit(1)), ["g"], "item_id").select("item_id", "batch")
+    """Each supplier's lines, fifty to a batch."""
+    rows = t.lineitem.withColumn("place", F.struct("l_orderkey", "l_linenumber", "l_partkey"))
+    return R.batches(rows, ["l_suppkey"], "place").select("l_orderkey", "l_linenumber", "l_partkey", "batch")
 
 
 @query("SELECT event_id, 'k' AS path, 'BIGINT' AS kind, props->>'$.k' AS value FROM events UNION ALL SELECT event_id, 'l', 'ARRAY', NULL FROM events UNION ALL SELECT event_id, 'l[0].t', 'STRING', event_type FROM events UNION ALL SELECT event_id, 'l[0]', 'OBJECT', NULL FROM events")
@@ -143,7 +145,7 @@ def verdict_pivot(t: Tables) -> DataFrame:
     return R.verdicts(e, "user_id", "event_type", "status", ["view", "click", "purchase"])
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber = 2 OR (l_linenumber = 3 AND l_returnflag = 'R') THEN 'allowed' ELSE 'reported' END AS side FROM lineitem WHERE l_orderkey < 2000")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber = 2 OR (l_linenumber = 3 AND l_returnflag = 'R') THEN 'allowed' ELSE 'reported' END AS side FROM lineitem")
 def allowlist_partition(t: Tables) -> DataFrame:
     f = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.concat(F.lit("lines["), "l_partkey", F.lit("].n"), "l_linenumber").alias("path"), F.concat(F.lit("flag "), "l_returnflag").alias("message"))
     a = t.spark.createDataFrame([("lines[0].n2", None), ("lines.n3", "flag R"), (None, None)], "path string, message string")
@@ -168,7 +170,7 @@ def output_diff(t: Tables) -> DataFrame:
     return sinks.output_states(o.where("path % 10 <> 0"), present)
 
 
-@query("""WITH a AS (SELECT s_nationkey AS k, s_suppkey AS v, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS pos FROM supplier), b AS (SELECT c_nationkey AS k, c_custkey AS v, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS pos FROM customer WHERE c_custkey <= 100)
+@query("""WITH a AS (SELECT s_nationkey AS k, s_suppkey AS v, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS pos FROM supplier), b AS (SELECT c_nationkey AS k, c_custkey AS v, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS pos FROM customer)
 SELECT coalesce(a.k, b.k) AS nation, CAST(coalesce(a.pos, b.pos) AS INT) AS pos, a.v AS "left", b.v AS "right", a.v IS NOT DISTINCT FROM b.v AS same FROM a FULL JOIN b ON a.k = b.k AND a.pos = b.pos""")
 def positional_diff(t: Tables) -> DataFrame:
     a = t.supplier.select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("pos"), F.col("s_suppkey").alias("name"))

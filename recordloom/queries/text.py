@@ -82,17 +82,18 @@ def section_path(t: Tables) -> DataFrame:
     return sections.section_path(s, s.select("doc_id", (F.col("end_char") - 1).alias("offset")).distinct())
 
 
-@query("""WITH o AS (SELECT doc_id, length(text) // 2 AS mid, unnest(list_filter(range(length(text)), lambda i: substr(text, i + 1, 4) = ' the')) AS s FROM documents WHERE lang = 'en')
-SELECT doc_id, CAST(arg_min(s, (abs(s - mid), s)) AS BIGINT) AS start_char FROM o GROUP BY doc_id""")
+@query("""WITH p AS (SELECT doc_id, length(text) // 2 AS mid, unnest(string_split(text, ' the')) AS part, unnest(range(len(string_split(text, ' the')))) AS k, len(string_split(text, ' the')) AS m FROM documents),
+o AS (SELECT doc_id, mid, k, m, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY k) + 4 * k AS s FROM p)
+SELECT doc_id, CAST(arg_min(s, (abs(s - mid), s)) AS BIGINT) AS start_char FROM o WHERE k < m - 1 GROUP BY doc_id""")
 def span_nearest(t: Tables) -> DataFrame:
     d = t.documents.select("doc_id", "text", F.lit(" the").alias("quote"), F.floor(F.length("text") / 2).alias("mid"))
     return spans.resolve(d, near="mid").where("exact").select("doc_id", "start_char")
 
 
-@query("""SELECT doc_id, item_id, CAST(strpos(d.text, b.text) - 1 AS BIGINT) AS start_char, CAST(strpos(d.text, b.text) - 1 + length(b.text) AS BIGINT) AS end_char, FALSE AS "exact"
-FROM documents d, benchmark b WHERE strpos(d.text, b.text) > 0 AND strpos(b.text, ' ') > 0""")
+@query("""SELECT doc_id, item_id, CAST(strpos(d.text, b.text) - 1 AS BIGINT) AS start_char, CAST(strpos(d.text, b.text) - 1 + length(b.text) AS BIGINT) AS end_char, strpos(b.text, ' ') = 0 AS "exact"
+FROM documents d, benchmark b WHERE strpos(d.text, b.text) > 0""")
 def span_tolerant(t: Tables) -> DataFrame:
-    quotes = t.benchmark.where("instr(text, ' ') > 0").select("item_id", F.replace("text", F.lit(" "), F.lit("  ")).alias("quote"))
+    quotes = t.benchmark.select("item_id", F.replace("text", F.lit(" "), F.lit("  ")).alias("quote"))
     return spans.find_tolerant(t.documents.select("doc_id", "text"), quotes)
 
 
@@ -124,8 +125,21 @@ def placeholder_insert(t: Tables) -> DataFrame:
     return r.select(F.col("r_regionkey").cast("long").alias("region_id"), spans.place_tables("text", "l").alias("filled"), (F.size("l") - 2).cast("long").alias("floated"))
 
 
-@query(r"""SELECT p_partkey, contains(x, 'interaction') OR contains(x, 'moderat') OR regexp_extract(x, '([a-z]+)-by-([a-z]+)', 1) <> regexp_extract(x, '([a-z]+)-by-([a-z]+)', 2) AS crossing, contains(x, ' vs ') OR contains(x, 'versus') OR regexp_matches(x, '[a-z0-9)\]]\s*[<>]\s*[a-z0-9(\[]') AS comparison,
-contains(x, 'change') OR contains(x, 'over time') AS change, contains(x, 'change in') OR contains(x, 'delta ') AS derivation
+#: The words that the counterpart looks for, written out once more. (fixed values)
+SAID = {
+    "crossing": ("interaction", "moderat", "×"),
+    "comparison": ("versus", " vs ", " vs. ", "greater than", "less than", "difference between", "change in", "change from", "pre-post", "pre/post", "prepost"),
+    "change": ("change", "longitudinal", "over time", "follow-up", "followup", "pre > post", "post > pre", "pre-post", "following treatment", "after treatment"),
+    "derivation": ("change in", "change from", "change over", "percent change", "percentage change", "percent reduction", "difference between", "difference in", "improvement in", "delta "),
+}
+
+
+def _says(kind: str) -> str:
+    return " OR ".join(f"contains(x, '{w}')" for w in SAID[kind])
+
+
+@query(rf"""SELECT p_partkey, {_says("crossing")} OR regexp_extract(x, '([a-z]+)-by-([a-z]+)', 1) <> regexp_extract(x, '([a-z]+)-by-([a-z]+)', 2) AS crossing, {_says("comparison")} OR regexp_matches(x, '[a-z0-9)\]]\s*[<>]\s*[a-z0-9(\[]') AS comparison,
+{_says("change")} AS change, {_says("derivation")} AS derivation
 FROM (SELECT p_partkey, lower(p_name || CASE p_partkey % 5 WHEN 0 THEN ' group-by-stage' WHEN 1 THEN ' voxel-by-voxel' WHEN 2 THEN ' a vs b' WHEN 3 THEN ' change in x' ELSE ' x > y over time' END) AS x FROM part)""")
 def prose_predicates(t: Tables) -> DataFrame:
     k = F.col("p_partkey") % 5

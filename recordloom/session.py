@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -23,13 +27,43 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """Cuts lineage by a checkpoint in the cluster's shared folder (a temporary one only on a local master)."""
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder: ``spark.checkpoint.dir``; a temporary one only on a plain local master without that setting."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    sc = spark.sparkContext
+    known = sc._jsc.sc().getCheckpointDir()
+    if known.isDefined():
+        return known.get()
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="recordloom-")
+    sc.setCheckpointDir(folder)
+    return folder
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cuts lineage: a table in the shared folder, computed once and removed when the session's JVM ends."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
+    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    fs, p = _path(spark, path)
+    fs.deleteOnExit(p)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
 
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="recordloom-"))
-    return df.checkpoint()
+def spread(df: DataFrame) -> DataFrame:
+    """Dealt anew only if a scan has fewer partitions than the session has cores: a large table is left where it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df

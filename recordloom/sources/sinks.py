@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import _path, cut, delete
+
 
 def write_records(records: DataFrame, path: str) -> None:
     """One JSON object a line, UTF-8 as it is."""
@@ -11,16 +15,37 @@ def write_records(records: DataFrame, path: str) -> None:
 
 
 def write_provenance(docs: DataFrame, path: str) -> None:
-    """Appends doc_id, sha256, n_chars, and whether the text drifted from its declared hash."""
-    docs.select("doc_id", F.sha2("text", 256).alias("sha256"), F.length("text").alias("n_chars"), (F.col("declared") != F.sha2("text", 256)).alias("drifted")).write.mode("append").parquet(path)
+    """doc_id, sha256, n_chars, and whether the text drifted from its declared hash; rows that the table has already aren't written again."""
+    rows = docs.select("doc_id", F.sha2("text", 256).alias("sha256"), F.length("text").alias("n_chars"), (F.col("declared") != F.sha2("text", 256)).alias("drifted"))
+    done = _table(rows, path)
+    rows = rows.alias("a").join(done.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.sha256").eqNullSafe(F.col("b.sha256"))), "left_anti")
+    rows.write.mode("append").parquet(path)
 
 
 def write_checked(df: DataFrame, path: str) -> None:
-    """Writes, reads back and refuses a table that didn't come back equal."""
-    df.write.mode("overwrite").parquet(path)
-    back = df.sparkSession.read.parquet(path).select(*df.columns)
-    if not df.exceptAll(back).isEmpty() or not back.exceptAll(df).isEmpty():
+    """Writes beside the target, reads back, and only then takes the old table's place; a table that didn't come back equal is refused and the old one stays."""
+    spark = df.sparkSession
+    df = cut(df)  # computed once
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    df.write.parquet(beside)
+    both = df.withColumn("__n", F.lit(1)).union(spark.read.parquet(beside).select(*df.columns).withColumn("__n", F.lit(-1)))
+    if not both.groupBy(*df.columns).agg(F.sum("__n").alias("__n")).where("__n != 0").isEmpty():
+        delete(spark, beside)
         raise ValueError(f"{path} doesn't read back as it was written")
+    delete(spark, path)
+    fs, source = _path(spark, beside)
+    if not fs.rename(source, _path(spark, path)[1]):
+        raise OSError(f"{beside} holds the table, but couldn't be renamed to {path}")
+
+
+def _table(like: DataFrame, path: str) -> DataFrame:
+    """The table at a path, or an empty one."""
+    try:
+        return like.sparkSession.read.parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return like.limit(0)
 
 
 def output_states(expected: DataFrame, present: DataFrame) -> DataFrame:
@@ -39,10 +64,4 @@ def write_once(df: DataFrame, path: str, key: str, redo: bool = False) -> None:
     if redo:
         df.write.mode("overwrite").parquet(path)
         return
-    try:
-        done = df.sparkSession.read.parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        done = df.limit(0)
-    unfinished(df, done, key).write.mode("append").parquet(path)
+    unfinished(df, _table(df, path), key).write.mode("append").parquet(path)

@@ -55,12 +55,35 @@ def test_nearest(spark):
     assert [r.start_char for r in spans.resolve(df, "near").collect()] == [3, 6]
 
 
-def test_anchor_join_equals_broadcast(spark):
+def test_anchors_equal_brute_force(spark):
     words = "the quick brown fox jumps over a lazy dog today".split()
     docs = spark.createDataFrame([(i, " ".join(words[i:] + words[:i])) for i in range(10)], "doc_id long, text string")
     quotes = spark.createDataFrame([(1, "quick brown fox jumps over a lazy"), (2, "dog today the"), (3, "not there at all my good friend"), (4, "ox"), (5, "a lazy dog today"), (6, "brown")], "item_id long, quote string")
-    rows = lambda d: sorted(map(tuple, d.collect()))
-    assert rows(spans.find_exact(docs, quotes)) == rows(spans.find_exact(docs, quotes, limit=0))
+    want = sorted((d.doc_id, q.item_id, d.text.find(q.quote), d.text.find(q.quote) + len(q.quote)) for d in docs.collect() for q in quotes.collect() if q.quote in d.text)
+    assert sorted(map(tuple, spans.find_exact(docs, quotes).collect())) == want and {w[1] for w in want} == {1, 2, 4, 5, 6}
+
+
+def test_caseless(spark):
+    from recordloom.functions import text as T
+
+    letters = [chr(c) for r in (range(0x41, 0x590), range(0x1E00, 0x2000), range(0xFB00, 0xFB07)) for c in r]
+    got = spark.createDataFrame([(c,) for c in letters], "c string").select("c", T.caseless("c").alias("f")).collect()
+    assert not [(r.c, r.f) for r in got if r.f != r.c.casefold()]
+
+
+def test_layers_and_chains(spark):
+    from recordloom.operators import closure as G
+
+    edges = spark.range(9 * 16).selectExpr("id DIV 16 AS a", "id % 4 AS x", "id DIV 4 % 4 AS y").selectExpr("a * 4 + x AS src", "(a + 1) * 4 + y AS dst")
+    got = G.closure(edges, spark.createDataFrame([(0,)], "node long")).collect()
+    assert sorted((r.node, r.depth) for r in got) == [(0, 0)] + [(k, k // 4) for k in range(4, 40)]
+
+
+def test_slice_without_heading(spark):
+    docs = spark.createDataFrame([(1, "# A\nx")], "doc_id long, text string")
+    assert S.slice_section(docs, "A").first().text == "# A\nx" and S.slice_section(docs, "B", missing="null").first().text is None
+    with pytest.raises(Exception, match="no heading 'B'"):
+        S.slice_section(docs, "B").collect()
 
 
 @pytest.mark.parametrize("s, e, span, status", [(0, 3, "one", "ok"), (1, 4, "one", "text_differs"), (3, 3, "", "out_of_range"), (0, 99, "one", "out_of_range"), (None, 3, "one", "not_integer")])
