@@ -80,3 +80,25 @@ def first_by_hash(rows: DataFrame, columns: list[str], n: int) -> DataFrame:
     if count > 4 * n:
         hashed = hashed.where(F.col("__h") < F.lit(int(-(1 << 63) + (2 * n / count) * 2.0**64)))
     return hashed.orderBy("__h", *columns).limit(n).drop("__h")
+
+
+def most(counted: DataFrame) -> tuple[int, int]:
+    """The greatest c and the sum of c; zeros for an empty table."""
+    got = counted.agg(F.max("c"), F.sum("c")).first()
+    return got[0] or 0, got[1] or 0
+
+
+def hot_join(big: DataFrame, small: DataFrame, keys: list[str], greatest: tuple[int, int] | None = None) -> DataFrame:
+    """big joined with small, which has one row and in c the number of big's rows for each key.
+
+    Keys with more than a thousandth of the rows (and more than a thousand), so at
+    most a thousand keys, are broadcast: none of them gathers its rows in one task.
+    Both sides are read twice then and so should be saved.
+    """
+    top, total = greatest or most(small)
+    limit = max(1000, total // 1000)
+    if top <= limit:
+        return big.join(small, keys)
+    hot = F.broadcast(small.where(F.col("c") > limit))
+    rest = big.join(F.broadcast(small.where(F.col("c") > limit).select(*keys)), keys, "left_anti").join(small.where(F.col("c") <= limit), keys)
+    return big.join(hot, keys).unionByName(rest)

@@ -1,11 +1,16 @@
 """Homomorphic document fingerprints: sums of wide vectors hashed from paragraphs.
 
-A paragraph's vector has two parts. The identity part is EXACT lanes hashed from
-the whole paragraph; lanes add modulo 2**32, so the sum depends on the multiset of
-paragraphs alone and a paragraph is inserted or deleted by adding or subtracting
-its vector. The likeness part counts, for each of 2 * PAIRS hash bits, the
-paragraph's word groups that have the bit set; it adds the same way, and the
-cosine of two centred sums estimates how much two documents share.
+A paragraph's vector has two parts. The identity part is EXACT lanes of 32 bits
+from independently seeded hashes of the whole paragraph; lanes add modulo 2**32, so
+the sum depends on the multiset of paragraphs alone and a paragraph is inserted or
+deleted by adding or subtracting its vector. The likeness part counts, for each of
+2 * PAIRS hash bits, the paragraph's shingles of GROUP words that have the bit set;
+it adds the same way, and the cosine of two centred sums estimates that of the
+shingle counts, with a standard error of (1 - cosine**2) / sqrt(2 * PAIRS). A word
+put in or taken out touches GROUP shingles only.
+
+xxhash64 isn't cryptographic: equality is safe against chance (EXACT * 32 bits), not
+against attack.
 """
 
 from __future__ import annotations
@@ -18,51 +23,52 @@ from ._store import pieces
 
 #: 32-bit lanes that decide equality; longs that hold two 32-bit likeness lanes each.
 EXACT, PAIRS = 16, 64
-#: Words of a group.
+#: Words of a shingle.
 GROUP = 5
 LANE = 0xFFFFFFFF
 SMALLEST = -(1 << 63)
+#: What separates words, beside spaces and line ends.
+WHITE = "\t\r\x0b\x0c"
 
 
 def paragraphs(text: Column) -> Column:
     """Lines that aren't blank."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda p: F.length(F.trim(p)) > 0)
+    return F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda p: F.length(F.trim(F.translate(p, WHITE, " " * len(WHITE)))) > 0)
 
 
-def _groups(text: Column) -> Column:
-    """Groups of up to GROUP words, counted from the start of each paragraph."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"[^ \n]+(?: +[^ \n]+){{0,{GROUP - 1}}}"), F.lit(0))
+def summed(rows: DataFrame, keys: list[str], text: str, name: str = "fp") -> DataFrame:
+    """keys, ``rows`` (how many have them) and ``name``, struct(exact array<long>, n long, like array<long>): the fingerprint of each key's text.
 
-
-def _seeded(k: int):
-    """A one-argument function: a default argument would be taken for the element's index."""
-    return lambda g: F.xxhash64(g, F.lit(k))
-
-
-def _total(values: Column, of) -> Column:
-    return F.aggregate(values, F.lit(0).cast("long"), lambda acc, x: acc + of(x))
-
-
-def fingerprint(text: Column) -> Column:
-    """struct(exact array<long>, n long, like array<long>) of a text; null counts as empty."""
-    whole = F.transform(paragraphs(text), lambda p: F.array(*[F.xxhash64(p, F.lit(k)) for k in range(EXACT // 2)]))
-    exact = []
+    Rows with equal keys must have equal texts. Null texts are empty. Paragraphs and
+    shingles become rows and are summed at once, in generated code; nothing is
+    shuffled if the input is partitioned by some of the keys.
+    """
+    own = rows.select(*keys, paragraphs(F.col(text)).alias("__ps"))
+    own = own.select(*keys, F.posexplode(F.when(F.size("__ps") > 0, F.col("__ps")).otherwise(F.array(F.lit(None).cast("string")))).alias("__at", "__p"))
+    own = own.withColumn("__words", F.split(F.trim(F.translate("__p", WHITE, " " * len(WHITE))), " +"))
+    own = own.withColumn("__i", F.explode(F.sequence(F.lit(1), F.greatest(F.size("__words") - (GROUP - 1), F.lit(1)))))
+    shingle = F.slice("__words", F.col("__i"), F.lit(GROUP))
+    said = F.col("__p").isNotNull()
+    own = own.select(*keys, "__at", "__i", "__p", said.alias("__said"), *[F.when(said, F.xxhash64(F.lit(k), shingle)).otherwise(F.lit(0).cast("long")).alias(f"__h{k}") for k in (0, 1)])
+    whole = [F.when(F.col("__said") & (F.col("__i") == 1), F.xxhash64(F.lit(100 + k), "__p")).otherwise(F.lit(0).cast("long")).alias(f"__w{k}") for k in range(EXACT // 2)]
+    own = own.select(*keys, ((F.col("__at") == 0) & (F.col("__i") == 1)).cast("long").alias("__first"), F.col("__said").cast("long").alias("__n"), "__h0", "__h1", *whole)
+    two = F.lit((1 << 32) + 1)
+    sums = [F.sum("__first").alias("__c"), F.sum("__n").alias("__n")]
     for k in range(EXACT // 2):
-        exact += [
-            _total(whole, lambda h, k=k: h[k].bitwiseAND(F.lit(LANE))).bitwiseAND(F.lit(LANE)),
-            _total(whole, lambda h, k=k: F.shiftrightunsigned(h[k], 32)).bitwiseAND(F.lit(LANE)),
-        ]
-    return F.struct(F.array(*exact).alias("exact"), _groups(text).alias("groups"))
+        sums += [F.sum(F.col(f"__w{k}").bitwiseAND(F.lit(LANE))).alias(f"__e{2 * k}"), F.sum(F.shiftrightunsigned(f"__w{k}", 32)).alias(f"__e{2 * k + 1}")]
+    half = PAIRS // 2
+    sums += [F.sum(F.shiftrightunsigned(f"__h{k}", s).bitwiseAND(two)).alias(f"__l{k * half + s}") for k in (0, 1) for s in range(half)]
+    out = own.groupBy(*keys).agg(*sums)
+    share = lambda c: F.expr(f"{c} DIV __c")  # noqa: E731  rows that agree in all keys
+    exact = F.array(*[share(f"__e{k}").bitwiseAND(F.lit(LANE)) for k in range(EXACT)])
+    return out.select(*keys, F.col("__c").alias("rows"), F.struct(exact.alias("exact"), share("__n").alias("n"), F.array(*[share(f"__l{k}") for k in range(PAIRS)]).alias("like")).alias(name))
 
 
 def add_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds the column ``name``: struct(exact, n, like)."""
-    two = F.lit((1 << 32) + 1)
-    hashed = f"__{name}_hashes"
-    out = df.withColumn(f"__{name}_raw", fingerprint(F.col(text)))
-    out = out.withColumn(hashed, F.array(*[F.transform(F.col(f"__{name}_raw")["groups"], _seeded(k)) for k in (0, 1)]))
-    like = [_total(F.col(hashed)[k], lambda h, s=s: F.shiftrightunsigned(h, s).bitwiseAND(two)) for k in (0, 1) for s in range(PAIRS // 2)]
-    return out.withColumn(name, F.struct(F.col(f"__{name}_raw")["exact"].alias("exact"), F.size(F.col(hashed)[0]).cast("long").alias("n"), F.array(*like).alias("like"))).drop(f"__{name}_raw", hashed)
+    """Adds the column ``name``: struct(exact, n, like). Equal texts are summed up once, after a partial aggregation."""
+    keys = [f"__{name}_{k}" for k in (1, 2)]
+    keyed = df.drop(name).withColumns({k: F.xxhash64(F.lit(i), F.coalesce(F.col(text), F.lit(""))) for i, k in enumerate(keys)})
+    return keyed.join(summed(keyed, keys, text, name).drop("rows"), keys).drop(*keys)
 
 
 def render(fp: Column) -> Column:
@@ -91,13 +97,13 @@ def likeness(a: Column, b: Column, za: Column, zb: Column) -> Column:
     return F.when(a["exact"] == b["exact"], 1.0).when(norm > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), dot(za, zb) / norm))).otherwise(0.0)
 
 
-def with_next(docs: DataFrame, columns: list[str], prefix: str = "next_") -> DataFrame:
-    """Each row of (doc_id, columns) with the columns of the next row by doc_id; the first follows the last.
+def with_next(docs: DataFrame, columns: list[str], prefix: str = "next_", kept: tuple[str, ...] = ()) -> DataFrame:
+    """Each row of (doc_id, columns) with the columns of the next row by doc_id; the first follows the last. ``kept``: other columns to return, such as __r.
 
     Null ids stand first; rows with one id are ordered by their text. Rows are
     dealt into ranges of ids whose bounds are ids themselves; the row at a bound
     also stands, as a guest, at the end of the range before, so no range needs to
-    look into another.
+    look into another; __r is the range, by which the result is partitioned.
     """
     spark = docs.sparkSession
     key = docs.withColumn("__id", F.coalesce(F.col("doc_id"), F.lit(SMALLEST)))
@@ -119,7 +125,7 @@ def with_next(docs: DataFrame, columns: list[str], prefix: str = "next_") -> Dat
     w = Window.partitionBy("__r").orderBy(F.col("__g") == 2, "__id", "text", "__g")
     for c in columns:
         dealt = dealt.withColumn(prefix + c, F.lead(c).over(w))
-    return dealt.where("__g = 0").select("doc_id", *columns, *[prefix + c for c in columns])
+    return dealt.where("__g = 0").select("doc_id", *kept, *columns, *[prefix + c for c in columns])
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
@@ -128,18 +134,25 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     The edited text replaces the last floor(n_chars / 2) code points by as many
     first ones of the next document (all it has, if fewer), in ascending doc_id;
     after the last comes the first. Null texts are empty; a single row is its own
-    next. Rows with equal ids follow the order of their texts. Every row gives one
-    row; other columns are ignored.
+    next. Null ids come first; rows with equal ids follow the order of their texts. Every row gives one
+    row, also equal ones; an empty table gives none; other columns are ignored.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    both = with_next(add_fingerprint(base, "text", "fp"), ["text", "fp"])
+    both = with_next(base, ["text"], kept=("__r",)).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    both = both.withColumn("n_chars", F.length("text").cast("long"))
-    both = both.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.col("next_text"), F.lit(1), half)))
-    both = add_fingerprint(both.drop("text", "next_text"), "edited", "efp")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.col("next_text"), F.lit(1), half))
+    both = both.withColumn("edited", edited)
+    # texts are equal where these agree; the range stays among the keys, so that sums are made where the rows are
+    keys = ["__r", "doc_id", "n_chars", "__sha", "__text", "__next"]
+    both = both.select("__r", "doc_id", "n_chars", F.unhex(F.sha2("edited", 256)).alias("__sha"), F.xxhash64("text").alias("__text"), F.xxhash64("next_text").alias("__next"), F.array("text", "edited", "next_text").alias("__texts"))
+    each = both.select(*keys, F.posexplode("__texts").alias("__which", "__one"))
+    found = summed(each, [*keys, "__which"], "__one").groupBy(*keys).agg(F.max("rows").alias("rows"), F.array_sort(F.collect_list(F.struct("__which", "fp"))).alias("__fps"))
+    rows = found.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
+    for k, name in enumerate(("fp", "efp", "next_fp")):
+        rows = rows.withColumn(name, F.col("__fps")[k]["fp"])
     for name in ("fp", "efp", "next_fp"):
-        both = both.withColumn(f"z_{name}", centred(F.col(name)))
-    return both.select(
-        "doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"), render(F.col("fp")).alias("fingerprint"), render(F.col("efp")).alias("edited_fingerprint"),
+        rows = rows.withColumn(f"z_{name}", centred(F.col(name)))
+    return rows.select(
+        "doc_id", "n_chars", F.lower(F.hex("__sha")).alias("edited_sha256"), render(F.col("fp")).alias("fingerprint"), render(F.col("efp")).alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("efp"), F.col("z_fp"), F.col("z_efp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp"), F.col("z_fp"), F.col("z_next_fp")).alias("near_next"),
     )

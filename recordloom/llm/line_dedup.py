@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._store import Stash, cut
+from ._store import Stash, cut, hot_join, most as _most
 
 #: What separates words and is trimmed from lines: ASCII white space. NBSP and the like are letters.
 WHITE = "\t\r\x0b\x0c"
@@ -30,28 +30,6 @@ def _doc_key(df: DataFrame) -> Column:
     return F.xxhash64(F.lit(17), F.col("doc_id"), F.col("text"))
 
 
-def _most(counted: DataFrame) -> tuple[int, int]:
-    """The greatest c and the sum of c; zeros for an empty table."""
-    got = counted.agg(F.max("c"), F.sum("c")).first()
-    return got[0] or 0, got[1] or 0
-
-
-def hot_join(big: DataFrame, small: DataFrame, keys: list[str], most: tuple[int, int] | None = None) -> DataFrame:
-    """big joined with small, which has one row and in c the number of big's rows for each key.
-
-    Keys with more than a thousandth of the rows (and more than a thousand), so at
-    most a thousand keys, are broadcast: none of them gathers its rows in one task.
-    Both sides are read twice then and so should be saved.
-    """
-    top, total = most or _most(small)
-    limit = max(1000, total // 1000)
-    if top <= limit:
-        return big.join(small, keys)
-    hot = F.broadcast(small.where(F.col("c") > limit))
-    rest = big.join(F.broadcast(small.where(F.col("c") > limit).select(*keys)), keys, "left_anti").join(small.where(F.col("c") <= limit), keys)
-    return big.join(hot, keys).unionByName(rest)
-
-
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, key, j, line, words, h1, h2: the lines that have words; line counts all lines from 0, j those with words."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

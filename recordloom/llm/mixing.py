@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._store import cut
+from ._store import Stash, cut
 
 LEVELS = ("domain", "lang", "source")
-#: Hex digits of a document's order hash that make its bin.
-DIGITS = 3
+#: Hex digits of a document's order hash that make a bin, and rows of one bin that are ordered without splitting it again.
+DIGITS, ORDERED = 2, 5000
 
 
 def n_tokens(text: Column) -> Column:
@@ -69,39 +69,75 @@ def budgets(leaves: DataFrame, target: Column, weights: dict[str, dict[str, int]
     return nodes.alias("n").join(frame.alias("f"), same, "left").select(*[F.col(f"n.{k}") for k in LEVELS], "tokens", F.floor(F.coalesce("budget", F.lit(0.0)) + 1e-6).cast("long").alias("budget"))
 
 
+def _same(a: str, b: str) -> list[Column]:
+    return [F.col(f"{a}.{p}").eqNullSafe(F.col(f"{b}.{p}")) for p in LEVELS]
+
+
+def _ordered(df: DataFrame, seed: int) -> DataFrame:
+    return df.withColumn("__order", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+
+
+def ends(ids: DataFrame, plan: DataFrame, stash: Stash, seed: int, ordered: int = ORDERED) -> DataFrame:
+    """LEVELS, prefix, last, ties, same: for each leaf with a partial epoch, the (order, doc_id, tokens) of the last document it reaches, and how many of how many equal ones.
+
+    Token sums by the order's first digits find the bin in which the budget ends;
+    that bin alone is split by more digits, until no leaf's has more than
+    ``ordered`` rows. Only those are ordered.
+    """
+    part = plan.where("rest > 0").select(*LEVELS, "whole", "rest")
+    rows = _ordered(ids.alias("d").join(part.alias("p"), _same("d", "p")).select("d.*", "whole", "rest"), seed)
+    found = part.select(*LEVELS, F.lit("").alias("prefix"), F.lit(0).cast("long").alias("before"))
+    digits = 0
+    while True:
+        inside = rows.alias("d").join(found.alias("f"), _same("d", "f")).select("d.*", "prefix", "before").where(F.col("__order").startswith(F.col("prefix")))
+        digits += DIGITS
+        sums = inside.groupBy(*LEVELS, F.substring("__order", 1, digits).alias("bin"), "rest", "before").agg(F.sum("tokens").alias("t"), F.count("*").alias("c"))
+        upto = F.sum("t").over(Window.partitionBy(*LEVELS).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+        over = sums.withColumn("upto", F.col("before") + upto).where(F.col("upto") > F.col("rest"))
+        found = stash.save(over.groupBy(*LEVELS).agg(F.min(F.struct("bin", (F.col("upto") - F.col("t")).alias("before"), "c")).alias("m")).select(*LEVELS, F.col("m.bin").alias("prefix"), "m.before", "m.c"), f"ends{digits}")
+        most = found.agg(F.max("c")).first()[0]
+        if not most or most <= ordered or digits >= 32:
+            break
+        found = found.drop("c")
+    inside = rows.alias("d").join(found.drop("c").alias("f"), _same("d", "f")).select("d.*", "prefix", "before").where(F.col("__order").startswith(F.col("prefix")))
+    running = Window.partitionBy(*LEVELS).orderBy("__order", F.col("doc_id").asc_nulls_first(), "tokens").rowsBetween(Window.unboundedPreceding, 0)
+    reached = inside.withColumn("__sum", F.col("before") + F.sum("tokens").over(running)).withColumn("__in", 2 * F.col("__sum") - F.col("tokens") <= 2 * F.col("rest"))
+    equal = reached.groupBy(*LEVELS, F.struct("__order", "doc_id", "tokens").alias("last")).agg(F.sum(F.col("__in").cast("long")).alias("ties"), F.count("*").alias("same")).where("ties > 0")
+    taken = equal.groupBy(*LEVELS).agg(F.max(F.struct("last", "ties", "same")).alias("m")).select(*LEVELS, "m.*")
+    # a leaf whose bin gives nothing ends with the bin's beginning
+    return found.select(*LEVELS, "prefix").alias("f").join(taken.alias("t"), _same("f", "t"), "left").select("f.*", "last", "ties", "same")
+
+
 def mix(docs: DataFrame, weights: dict[str, dict[str, int]], target: Column, epochs: int = 2, seed: int = 1) -> DataFrame:
     """One row for each copy of a document in the mixture: its columns, tokens and epoch (from 0).
 
-    docs needs doc_id, domain, lang, source and text. A leaf's last, partial epoch
-    takes documents in the order of md5(seed:epoch:doc_id) (ties: doc_id, tokens) as
+    docs needs doc_id, domain, lang, source and text; null names are names of their
+    own, null texts have no tokens, columns named tokens and epoch are replaced. A leaf's last, partial epoch
+    takes documents in the order of md5(seed:epoch:doc_id) (ties: doc_id, null
+    first, then tokens; of rows equal in these any) as
     long as at least half of a document fits into what is left of the budget.
     Documents without tokens cost nothing and come with any epoch that reaches them.
-    Only token sums per leaf and bin are gathered: bins before the one where the
-    budget ends are taken whole, and only that one bin is ordered, so a source with
-    a third of all rows is never ordered in one task. An empty table gives none.
+    Ids and token counts are saved once; where each leaf's last epoch ends is found
+    from sums, so a source with a third of all rows is never ordered in one task.
+    An empty table gives none.
     """
     docs = docs.drop("tokens", "epoch").withColumn("tokens", n_tokens(F.col("text")))
-    same = lambda a, b: [F.col(f"{a}.{p}").eqNullSafe(F.col(f"{b}.{p}")) for p in LEVELS]
-    leaves = docs.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
-    plan = budgets(leaves, target, weights, epochs).where("tokens > 0 AND budget > 0")
-    plan = plan.withColumn("whole", F.expr("budget DIV tokens")).withColumn("rest", F.expr("budget % tokens"))
-    plan = cut(plan)
-
-    def ordered(df: DataFrame) -> DataFrame:
-        return df.withColumn("__order", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
-
-    ids = docs.select("doc_id", *LEVELS, "tokens").alias("d").join(plan.drop("tokens").alias("p"), same("d", "p")).select("d.*", "whole", "rest")
-    sums = ordered(ids).groupBy(*LEVELS, F.substring("__order", 1, DIGITS).alias("bin"), "rest").agg(F.sum("tokens").alias("t"))
-    upto = Window.partitionBy(*LEVELS).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    ends = sums.withColumn("upto", F.sum("t").over(upto)).where(F.col("upto") > F.col("rest"))
-    ends = ends.groupBy(*LEVELS).agg(F.min("bin").alias("end_bin"), F.min(F.col("upto") - F.col("t")).alias("before"))
-    plan = cut(plan.alias("p").join(ends.alias("e"), same("p", "e"), "left").select("p.*", "end_bin", "before"))
-
-    every = ordered(docs.alias("d").join(plan.drop("tokens").alias("p"), same("d", "p")).select("d.*", "whole", "rest", "end_bin", "before")).withColumn("__bin", F.substring("__order", 1, DIGITS))
-    full = every.where("whole > 0").withColumn("epoch", F.explode(F.expr("sequence(0L, whole - 1)")))
-    last = every.where("rest > 0").withColumn("epoch", F.col("whole"))
-    early = last.where(F.col("__bin") < F.coalesce("end_bin", F.lit("g")))
-    running = Window.partitionBy(*LEVELS).orderBy("__order", F.col("doc_id").asc_nulls_first(), "__tokens").rowsBetween(Window.unboundedPreceding, 0)
-    edge = last.where(F.col("__bin") == F.col("end_bin")).withColumn("__tokens", F.col("tokens"))
-    edge = edge.withColumn("__sum", F.col("before") + F.sum("__tokens").over(running)).where(2 * F.col("__sum") - F.col("__tokens") <= 2 * F.col("rest")).drop("__sum", "__tokens")
-    return full.unionByName(early).unionByName(edge).select(*docs.columns, "epoch")
+    with Stash(docs.sparkSession) as stash:
+        ids = stash.save(docs.select("doc_id", *LEVELS, "tokens"), "ids")
+        leaves = ids.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
+        plan = budgets(leaves, target, weights, epochs).where("tokens > 0 AND budget > 0")
+        plan = stash.save(plan.select(*LEVELS, F.expr("budget DIV tokens").alias("whole"), F.expr("budget % tokens").alias("rest")), "plan")
+        plan = cut(plan.alias("p").join(ends(ids, plan, stash, seed).alias("e"), _same("p", "e"), "left").select("p.*", "prefix", "last", "ties", "same"))
+
+    rows = _ordered(docs.alias("d").join(plan.alias("p"), _same("d", "p")).select("d.*", "whole", "rest", "prefix", "last", "ties", "same"), seed)
+    here = F.struct("__order", "doc_id", "tokens")
+    at_last = F.coalesce(here == F.col("last"), F.lit(False))
+    reached = F.when(F.col("last").isNull(), F.col("__order") < F.col("prefix")).otherwise((here < F.col("last")) | (at_last & (F.col("ties") == F.col("same"))))
+    partial = F.when((F.col("rest") > 0) & reached, F.array("whole")).otherwise(F.array().cast("array<bigint>"))
+    whole = F.when(F.col("whole") > 0, F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)).otherwise(F.array().cast("array<bigint>"))
+    out = rows.withColumn("epoch", F.explode(F.concat(whole, partial))).select(*docs.columns, "epoch")
+    if plan.where("ties < same").isEmpty():
+        return out
+    # rows that agree in all that orders them, of which some fit
+    some = rows.where(at_last & (F.col("ties") < F.col("same"))).withColumn("__k", F.row_number().over(Window.partitionBy(*LEVELS).orderBy("__order"))).where("__k <= ties")
+    return out.unionByName(some.withColumn("epoch", F.col("whole")).select(*docs.columns, "epoch"))

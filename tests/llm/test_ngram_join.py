@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from recordloom.llm.ngram_join import Trie, links, ngram_jaccard_join
+from recordloom.llm.ngram_join import Trie, apart, links, ngram_jaccard_join
 
 from .conftest import ODD
 
@@ -71,6 +71,31 @@ def test_odd_rows(spark, docs_of):
     assert ngram_jaccard_join(docs_of([])).isEmpty()
 
 
+def test_an_id_with_many_texts_joins_them_all(spark):
+    a, b, c, d = ("a b c d e f g", "h i j k l m n", "o p q r s t u", "v w x y z")
+    rows = [(1, a), (2, b), (3, c), (5, a), (5, b), (5, c), (6, d), (7, d), (7, "only here and not there"), (8, "only here and not there")]
+    got = {(r.doc_id, r.component_id) for r in ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (5, 1), (6, 6), (7, 6), (8, 6)}
+
+
+def test_a_large_family_is_shipped_once(spark, docs_of):
+    """One group of near copies over many blocks: the last round ships nothing, or each set about once for a few strays."""
+    nodes = [(9, 1, 100 + i, 50) for i in range(1000)] + [(9, 5000 + i, 5000 + i, 50) for i in range(5)] + [(8, 7, 9000 + i, 50) for i in range(300)]
+    got = apart(spark.createDataFrame(nodes, "family long, label long, node long, n long"), block=20).collect()
+    assert {r.node for r in got} == {n[2] for n in nodes if n[0] == 9} and len(got) < 1000 * 3 + 5 * 120
+    blocks = {}
+    for r in got:
+        blocks.setdefault(r.task, set()).add(r.node)
+    strays = {n[2] for n in nodes if n[1] >= 5000}
+    for s in strays:  # a stray meets every set of the other labels
+        assert set().union(*(b for b in blocks.values() if s in b)) >= {n[2] for n in nodes if n[0] == 9}
+    rnd = random.Random(8)
+    base = [f"w{k}" for k in range(120)]
+    t = [" ".join(w if j != i % 100 else f"x{i}" for j, w in enumerate(base)) for i in range(90)] + [" ".join(base[:60] + rnd.sample(base, 60)) for _ in range(20)]
+    want, _ = brute(list(enumerate(t)))
+    assert {r.doc_id: r.component_id for r in ngram_jaccard_join(docs_of(t), block=8).collect()} == want
+
+
 def test_trie_finds_what_counting_finds():
     import numpy as np
 

@@ -56,7 +56,7 @@ def test_url_rules(spark):
 
 def test_reputation_shrinks(spark):
     rows = [("good.a.com", 1)] * 60 + [("good.a.com", 0)] * 2 + [("bad.b.com", 0)] * 60 + [("new.a.com", 0), (None, 1), ("new.b.com", None)] + [(f"h{i}.a.com", 1) for i in range(30)] + [(f"h{i}.b.com", 0) for i in range(30)]
-    r = {x.host: x for x in H.reputations(spark.createDataFrame(rows, "host string, good int")).collect()}
+    r = {x.host: x for x in H.reputations(H.host_counts(spark.createDataFrame(rows, "host string, good int"))).collect()}
     mean = lambda x: x.alpha / (x.alpha + x.beta)
     assert mean(r["good.a.com"]) > 0.8 > 0.2 > mean(r["bad.b.com"]) and mean(r["new.a.com"]) > 0.3
     pages = spark.createDataFrame([(1, "http://good.a.com/"), (2, "http://bad.b.com/"), (3, "http://unseen.b.com/x")], "page_id long, url string")
@@ -64,6 +64,40 @@ def test_reputation_shrinks(spark):
     assert got == {1: "allow", 2: "block", 3: "block"}
 
 
+def test_beta_tail(spark):
+    import numpy as np
+
+    cases = [(1.0, 1.0), (2.0, 1.0), (0.3, 5.0), (30.0, 12.0), (300.0, 120.0), (5000.0, 3300.0), (1.5, 0.02), (70000.0, 46000.0)]
+    got = spark.createDataFrame(cases, "a double, b double").select("a", "b", H.beta_tail(F.col("a"), F.col("b"), 0.6).alias("t")).collect()
+    for r in got:
+        # the density over a grid in the logit of the rate
+        u = np.linspace(-60, 60, 2_000_001)[1:-1]
+        p = 1 / (1 + np.exp(-u))
+        logd = r.a * np.log(p) + r.b * np.log1p(-p)
+        d = np.exp(np.where(np.isfinite(logd), logd, -1e9) - np.nanmax(logd[np.isfinite(logd)]))
+        want = d[u <= np.log(1.5)].sum() / d.sum()
+        assert abs(r.t - want) < (0.01 if r.a + r.b > 20000 else 1e-3), (r, want)
+
+
+HOSTS = [
+    ("a.b.example.com", "example.com", "com"), ("example.com:8080", "example.com", "com"), ("user:pw@www.example.co.uk:1", "example.co.uk", "co.uk"), ("x.com.sg", "x.com.sg", "com.sg"), ("192.168.0.1", "192.168.0.1", ""),
+    ("192.168.0.1:80", "192.168.0.1", ""), ("[::1]:80", "[::1]", ""), ("example.org.", "example.org", "org"), ("localhost", "localhost", "localhost"), ("", "", ""), ("co.uk", "co.uk", "co.uk"), ("com.example.net", "example.net", "net"),
+]
+
+
+def test_domains(spark):
+    df = spark.createDataFrame([(h,) for h, _, _ in HOSTS], "host string").select("host", H.domain_of(F.col("host")), H.suffix_of(F.col("host")))
+    assert sorted(map(tuple, df.collect())) == sorted(HOSTS)
+
+
+def test_judge_odd_rows(spark):
+    none = spark.createDataFrame([], "host string, good int")
+    pages = spark.createDataFrame([(1, "http://h.com/" + "x" * 100_000, "z"), (1, "http://h.com/a", "z"), (1, "http://h.com/a", "z"), (None, None, "z")], "page_id long, url string, verdict string")
+    got = H.judge(pages, none, []).collect()
+    assert len(got) == 4 and {len(r.path) for r in got} == {100_001, 2, 0} and all(r.good_rate == 0.5 for r in got)
+    assert H.judge(pages.limit(0), none, []).isEmpty()
+
+
 PAGES = [
     ("<html><head><title>t</title><style>p{}</style><script>var a='</p>';</script></head><body><nav><a href=/>Home</a></nav><article><h1>Head</h1><p>One&nbsp;&amp; two<br>three  <b>bo</b>ld</p><div class='ad'>Buy</div><aside>side</aside><p>Last\n line<form><input value='x'>f</form></article><section id=comments><article>Nice!</article></section><footer>&copy; x</footer></body></html>", "Head One & two three bold Last line"),
     ("<body><div class='menu'><ul><li><a href=1>a</a></ul></div><div><p>Plain words stand here and here.</p><p>And more of them here.</p></div><div id='footer'>foot</div></body>", "Plain words stand here and here. And more of them here."),
@@ -74,7 +108,7 @@ PAGES = [
 
 @pytest.mark.parametrize("page, text", PAGES)
 def test_main_text(page, text):
-    assert M.extract(page, M.Scorer(dict(M.PRIOR))) == text
+    assert M.extract(page, M.Scorer()) == text
 
 
 def test_main_text_table(spark):
@@ -85,6 +119,37 @@ def test_main_text_table(spark):
     assert M.extract_pages(pages.limit(0), docs).isEmpty()
 
 
+def test_main_text_learns(spark):
+    """Weights from pages decide: without them, or turned round, the same pages give other texts."""
+    import random
+    from collections import Counter
+
+    rnd = random.Random(1)
+    say = lambda n: " ".join(rnd.choice("the of and a in to is on that it with as for was by".split()) + str(rnd.randint(0, 99)) for _ in range(n))
+    pages = []
+    for _ in range(60):
+        main = [say(rnd.randint(5, 40)) for _ in range(3)]
+        pages.append(("<body><div class=top>" + say(8) + "</div><div class=zone>" + "".join(f"<p>{p}</p>" for p in main) + "</div><div class=tail><p>" + say(30) + "</p></div></body>", " ".join(main)))
+    counts = Counter()
+    for page, main in pages[:40]:
+        counts.update(M.observe(page, main))
+    learned = M.fit(counts)
+    right = lambda scorer: sum(M.extract(page, scorer) == main for page, main in pages[40:])
+    turned = M.Scorer({k: -v for k, v in learned.weights.items()}, learned.tags)
+    assert right(learned) == 20 and right(M.Scorer()) == 0 and right(turned) == 0
+    assert "zone" not in M.extract(pages[0][0], learned) and learned.weights[".tail"] < 0 < learned.weights[".zone"]
+
+
+def test_main_text_open_markup():
+    import time
+
+    for page in ("<div class=a>x y z " * 30_000, "<b><p></p>" * 30_000, "<a " * 100_000, "<li>w " * 30_000 + "</q>" * 30_000, "<p>" + "<b>" * 30_000 + "<p>x" * 30_000):
+        began = time.time()
+        M.extract(page, M.Scorer())
+        assert time.time() - began < 20
+    assert M.extract("<article><p>x</article><article><p>x</article>", M.Scorer()) == "x x"
+
+
 def test_region():
     assert M.region([-1, 2, -1, 3, -5, 4]) == (1, 4) and M.region([]) == (0, 0) and M.region([-1, -2]) == (0, 0)
 
@@ -116,6 +181,14 @@ def test_mix_prefix(spark):
     assert X.mix(docs.limit(0), {}, F.lit(10)).isEmpty()
 
 
+def test_mix_equal_rows(spark):
+    rows = [(i % 40, "web", "en", "s", "w w") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, domain string, lang string, source string, text string")
+    for target in (7, 9, 200, 401, 555):
+        got = X.mix(docs, {}, F.lit(target), 2).collect()
+        assert abs(sum(r.tokens for r in got) - target) <= 1
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline as P
 
@@ -128,3 +201,14 @@ def test_pipeline(spark, sf):
     out = P.mixture(spark, docs, sf)
     assert {"epoch", "tokens", "domain"} <= set(out.columns) and not out.isEmpty()
     assert all(not s(spark, docs.limit(0), sf).count() for _, s in P.STAGES)
+    assert sorted(map(str, P.run(spark, sf).collect())) == sorted(map(str, out.collect()))
+
+
+def test_pipeline_odd_rows(spark, sf):
+    import corpus_pipeline as P
+
+    rows = [(None, None, None, None, None), (1, "", "en", "src1", 0), (1, "", "en", "src1", 0), (2, "a b c", None, None, 5), (2, "a b c", "en", "src2", 5), (None, "a b c", "de", "x", 5), (3, "w " * 50_000, "en", "src3", 100_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("score", F.lit("x")).withColumn("component_id", F.lit(1))
+    for _, stage in P.STAGES:
+        got = stage(spark, docs, sf)
+        assert got.count() <= 2 * len(rows)
