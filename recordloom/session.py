@@ -53,13 +53,19 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Marks a folder to go when the session's JVM ends, whether it is there already or not."""
+    fs, p = _path(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cuts lineage: a table in the shared folder, computed once and removed when the session's JVM ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
-    fs, p = _path(spark, path)
-    fs.deleteOnExit(p)
-    df.write.parquet(path)
+    delete_at_end(spark, path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
