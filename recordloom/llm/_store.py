@@ -2,48 +2,11 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder: ``spark.checkpoint.dir``; a temporary one only on a local master without that setting."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    sc = spark.sparkContext
-    known = sc._jsc.sc().getCheckpointDir()
-    if known.isDefined():
-        return known.get()
-    if not re.fullmatch(r"local(\[.*\])?", sc.master):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="recordloom-")
-    sc.setCheckpointDir(folder)
-    return folder
-
-
-def _path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    fs, p = _path(spark, path)
-    fs.delete(p, True)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts lineage: a table in the shared folder, computed once and removed when the session's JVM ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
-    fs, p = _path(spark, path)
-    fs.deleteOnExit(p)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..session import cut, delete, shared_dir  # noqa: F401  cut is for the operators
 
 
 class Stash:
