@@ -362,14 +362,17 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, num: int = 4, den: int =
         large = stash.save(placed.where("blocks > 1").select("family", "node", "n"), "large")
         if not large.isEmpty():
 
-            def labelled(links: DataFrame) -> DataFrame:
-                return large.join(components(links), "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+            def labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
+                """A task links each set to the first of its part, so its links are labels already."""
+                to = links.where("a != b").select(F.col("a").alias("label"), F.col("b").alias("__b")).distinct()
+                return nodes.join(to, "label", "left").withColumn("label", F.coalesce("__b", "label")).drop("__b")
 
-            leaders = labelled(found).where("label = node").withColumn("size", F.count("*").over(Window.partitionBy("family")))
+            labels = stash.save(labelled(large.withColumn("label", F.col("node")), found), "labels")
+            leaders = labels.where("label = node").withColumn("size", F.count("*").over(Window.partitionBy("family")))
             task = F.concat_ws(".", "family", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / block).cast("int")))
-            found = found.union(walked(leaders.select(task.alias("task"), F.col("node").alias("doc_id"), F.col("node").alias("part")), "leaders"))
-            rest = apart(stash.save(labelled(found), "labels"), block, grams_in_block)
-            found = found.union(walked(rest.select("task", F.col("node").alias("doc_id"), F.col("label").alias("part")), "across"))
+            more = walked(leaders.select(task.alias("task"), F.col("node").alias("doc_id"), F.col("node").alias("part")), "leaders")
+            rest = apart(stash.save(labelled(labels, more), "parts"), block, grams_in_block)
+            found = found.union(more).union(walked(rest.select("task", F.col("node").alias("doc_id"), F.col("label").alias("part")), "across"))
         # a doc_id with several sets joins all their classes
         several = ids.select("doc_id", "s1", "s2").distinct().groupBy("doc_id").count().where("count > 1").select("doc_id")
         again = ids.select("doc_id", "s1", "s2").join(several, "doc_id").join(reps.select("s1", "s2", "rep"), ["s1", "s2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
