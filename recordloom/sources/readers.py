@@ -107,11 +107,39 @@ def first_of(keys: DataFrame, key: str, sources: list[tuple[str, DataFrame]], va
     return out.where("source IS NOT NULL"), out.where("source IS NULL").select(key, F.lit("no source").alias("warning"))
 
 
-def article_text(xml: DataFrame) -> DataFrame:
-    """(doc_id, xml) articles -> doc_id, text: title, keywords, abstract and body with blank lines between, empty parts left out."""
-    part = lambda tag: F.nullif(F.trim(F.regexp_replace(F.regexp_extract("xml", rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>", 1), r"(?s)<[^>]+>", "")), F.lit(""))
-    words = F.array_join(F.filter(F.transform(F.regexp_extract_all("xml", F.lit(r"(?s)<kwd\b[^>]*>(.*?)</kwd>"), F.lit(1)), lambda k: F.trim(F.regexp_replace(k, r"(?s)<[^>]+>", ""))), lambda k: k != ""), ", ")
-    return xml.select("doc_id", F.concat_ws("\n\n", part("article-title"), F.nullif(words, F.lit("")), part("abstract"), part("body")).alias("text"))
+def plain_xml(xml: Column) -> Column:
+    """Text of marked-up XML: a blank line after paragraphs, titles and sections, tags gone, references to characters decoded."""
+    out = F.regexp_replace(F.regexp_replace(xml, r"(?s)<!--.*?-->", ""), r"</(?:p|title|sec|abstract|list-item|caption)>", "\n\n")
+    out = F.regexp_replace(out, r"(?s)<[^>]+>", "")
+    for name, letter in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("#160", "\u00a0"), ("#8211", "–"), ("#8217", "’"), ("amp", "&")):
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(letter))
+    return F.trim(F.regexp_replace(out, r"[ \t]*\n(?:[ \t]*\n)+[ \t]*", "\n\n"), F.lit(" \t\n"))
+
+
+def article_text(xml: DataFrame, keep_tables: bool = False) -> DataFrame:
+    """(doc_id, xml) articles -> doc_id, text: title, keywords, all abstracts and the body with blank lines between, empty parts left out.
+
+    Cross-references keep their text. Tables go, or with ``keep_tables`` leave
+    ``[placeholder-N]``, from 1 in order, for ``spans.place_tables``.
+    """
+    first = lambda tag: F.regexp_extract("xml", rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>", 1)
+    every = lambda tag: F.regexp_extract_all("xml", F.lit(rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
+    filled = lambda texts, by: F.nullif(F.array_join(F.filter(F.transform(texts, plain_xml), lambda k: k != ""), by), F.lit(""))
+    pieces = F.split(first("body"), r"(?s)<table-wrap\b.*?</table-wrap>", -1)
+    last = F.size(pieces) - 1
+    mark = lambda p, i: F.concat(p, F.when(i < last, F.concat(F.lit("\n\n[placeholder-"), i + 1, F.lit("]\n\n"))).otherwise(""))
+    body = F.array_join(F.transform(pieces, mark) if keep_tables else pieces, "\n\n")
+    title = F.nullif(plain_xml(first("article-title")), F.lit(""))
+    return xml.select("doc_id", F.concat_ws("\n\n", title, filled(every("kwd"), ", "), filled(every("abstract"), "\n\n"), F.nullif(plain_xml(body), F.lit(""))).alias("text"))
+
+
+def yaml_modules(spark: SparkSession, folder: str):
+    """A ``load`` for read_schema: module ``name`` is ``folder/name.yaml``, read by Spark, wherever the folder is. Needs the yaml package."""
+    import yaml
+
+    found = {r.name: r.value for r in spark.read.text(folder, wholetext=True, pathGlobFilter="*.yaml").select(basename(F.col("_metadata.file_path")).alias("name"), "value").collect()}
+    known = {k.removesuffix(".yaml"): v for k, v in found.items()}
+    return lambda name: yaml.safe_load(known[name]) if name in known else None
 
 
 def read_schema(load, root: str) -> dict[str, dict]:

@@ -234,6 +234,14 @@ def test_readers(spark, tmp_path):
     assert {tuple(r) for r in good.collect()} == {("1", "s", None), ("2", "t", "z")} and bad.count() == 1
     x = spark.createDataFrame([(1, "<article><article-title>T</article-title><kwd>k</kwd><abstract><p>A</p></abstract><body><p>B</p></body></article>")], "doc_id long, xml string")
     assert readers.article_text(x).first().text == "T\n\nk\n\nA\n\nB"
+    y = spark.createDataFrame([(1, "<article><article-title>a &lt; b &amp;amp; c</article-title><kwd>k</kwd><kwd> </kwd><kwd>l</kwd><abstract><p>A</p></abstract><abstract kind='x'><p>A2</p></abstract><body><sec><title>S</title><p>one <xref>1</xref></p><table-wrap><td>9</td></table-wrap><p>two</p><table-wrap/><table-wrap>8</table-wrap></sec></body></article>")], "doc_id long, xml string")
+    assert readers.article_text(y).first().text.startswith("a < b &amp; c\n\nk, l\n\nA\n\nA2\n\nS\n\none 1\n\ntwo")
+    assert "one 1\n\n[placeholder-1]\n\ntwo" in readers.article_text(y, keep_tables=True).first().text
+    for name, text in (("a", "imports: [b]\nclasses: {X: 1}"), ("b", "classes: {Y: 2, X: 0}")):
+        (tmp_path / "schema").mkdir(exist_ok=True)
+        (tmp_path / "schema" / f"{name}.yaml").write_text(text)
+    pytest.importorskip("yaml")
+    assert readers.merge_schema(readers.read_schema(readers.yaml_modules(spark, str(tmp_path / "schema")), "a"), "classes") == {"X": 1, "Y": 2}
     modules = {"a": {"imports": ["b"], "classes": {"X": 1}}, "b": {"imports": ["a"], "classes": {"X": 0, "Y": 2}}}
     assert readers.merge_schema(readers.read_schema(modules.get, "a"), "classes") == {"X": 1, "Y": 2}
     with pytest.raises(FileNotFoundError):
