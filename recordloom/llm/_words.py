@@ -98,6 +98,7 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: np.nda
     out = np.zeros(len(starts), U64)
     if not len(starts):
         return out
+    piece = min(piece, int(ends[-1] - starts[0]))
     up, down = powers(BASE, piece), powers(INVERSE, piece)
 
     def letters(a: int, b: int) -> np.ndarray:

@@ -132,7 +132,8 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = 5, rate: float
             lr = rate * (1 - step / steps)
             step += 1
             mine, part = ids[at[i] : at[i + 1]], share[at[i] : at[i + 1]]
-            mean = part @ vectors[mine]
+            rows = np.take(vectors, mine, axis=0)
+            mean = part @ rows
             logit = mean @ out + bias
             p = np.exp(logit - logit.max())
             p /= p.sum()
@@ -140,7 +141,8 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = 5, rate: float
             back = out @ p
             out -= 0.05 * lr * np.outer(mean, p)
             bias -= 0.001 * lr * p
-            vectors[mine] -= lr * part[:, None] * back
+            rows -= (lr * part)[:, None] * back
+            vectors[mine] = rows  # the buckets of a text are distinct
     return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
