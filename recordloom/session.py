@@ -53,6 +53,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Has the driver's JVM collect its garbage: the files of finished shuffles and broadcasts go with the objects that stand for them, and the heap shrinks."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def delete_at_end(spark: SparkSession, path: str) -> None:
     """Marks a folder to go when the session's JVM ends, whether it is there already or not."""
     fs, p = _path(spark, path)
