@@ -6,14 +6,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import cut, delete, shared_dir  # noqa: F401  cut is for the operators
+from ..session import cut, delete, shared_dir, tidy  # noqa: F401  cut is for the operators
+
+
+#: After so many tables what their making has left behind is collected.
+TIDY = 8
 
 
 class Stash:
     """Parquet tables in the shared folder that live as long as the ``with`` block."""
 
     def __init__(self, spark: SparkSession):
-        self.spark = spark
+        self.spark, self.saved = spark, 0
         self.root = f"{shared_dir(spark).rstrip('/')}/stash-{uuid.uuid4().hex}"
 
     def __enter__(self) -> "Stash":
@@ -22,6 +26,9 @@ class Stash:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
+        self.saved += 1
+        if self.saved % TIDY == 0:
+            tidy(self.spark)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
@@ -29,6 +36,7 @@ class Stash:
 
     def __exit__(self, *exc) -> None:
         delete(self.spark, self.root)
+        tidy(self.spark)
 
 
 def pieces(spark: SparkSession, per_core: int = 1) -> int:
