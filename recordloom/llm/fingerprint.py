@@ -97,8 +97,11 @@ def likeness(a: Column, b: Column, za: Column, zb: Column) -> Column:
     return F.when(a["exact"] == b["exact"], 1.0).when(norm > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), dot(za, zb) / norm))).otherwise(0.0)
 
 
-def with_next(docs: DataFrame, columns: list[str], prefix: str = "next_", kept: tuple[str, ...] = ()) -> DataFrame:
-    """Each row of (doc_id, columns) with the columns of the next row by doc_id; the first follows the last. ``kept``: other columns to return, such as __r.
+def with_next(docs: DataFrame, columns: list[str], prefix: str = "next_", places: bool = False) -> DataFrame:
+    """Each row of (doc_id, columns) with the columns of the next row by doc_id; the first follows the last.
+
+    With ``places`` also __r (the range), __k (the place in it) and __guest, and the
+    guests' rows too.
 
     Null ids stand first; rows with one id are ordered by their text. Rows are
     dealt into ranges of ids whose bounds are ids themselves; the row at a bound
@@ -125,7 +128,9 @@ def with_next(docs: DataFrame, columns: list[str], prefix: str = "next_", kept:
     w = Window.partitionBy("__r").orderBy(F.col("__g") == 2, "__id", "text", "__g")
     for c in columns:
         dealt = dealt.withColumn(prefix + c, F.lead(c).over(w))
-    return dealt.where("__g = 0").select("doc_id", *kept, *columns, *[prefix + c for c in columns])
+    if places:
+        return dealt.select("__r", F.row_number().over(w).alias("__k"), (F.col("__g") > 0).alias("__guest"), "doc_id", *columns, *[prefix + c for c in columns])
+    return dealt.where("__g = 0").select("doc_id", *columns, *[prefix + c for c in columns])
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
@@ -138,18 +143,16 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     row, also equal ones; an empty table gives none; other columns are ignored.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    both = with_next(base, ["text"], kept=("__r",)).withColumn("n_chars", F.length("text").cast("long"))
+    both = with_next(base, ["text"], places=True).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.col("next_text"), F.lit(1), half))
-    both = both.withColumn("edited", edited)
-    # texts are equal where these agree; the range stays among the keys, so that sums are made where the rows are
-    keys = ["__r", "doc_id", "n_chars", "__sha", "__text", "__next"]
-    both = both.select("__r", "doc_id", "n_chars", F.unhex(F.sha2("edited", 256)).alias("__sha"), F.xxhash64("text").alias("__text"), F.xxhash64("next_text").alias("__next"), F.array("text", "edited", "next_text").alias("__texts"))
-    each = both.select(*keys, F.posexplode("__texts").alias("__which", "__one"))
-    found = summed(each, [*keys, "__which"], "__one").groupBy(*keys).agg(F.max("rows").alias("rows"), F.array_sort(F.collect_list(F.struct("__which", "fp"))).alias("__fps"))
-    rows = found.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
-    for k, name in enumerate(("fp", "efp", "next_fp")):
-        rows = rows.withColumn(name, F.col("__fps")[k]["fp"])
+    both = both.withColumn("edited", F.when(~F.col("__guest"), edited))
+    # a place in a range is one row; the range stays among the keys, so that sums are made where the rows are
+    keys = ["__r", "__k", "__guest", "doc_id", "n_chars", "__sha"]
+    each = both.select(*keys[:-1], F.unhex(F.sha2("edited", 256)).alias("__sha"), F.posexplode(F.array("text", "edited")).alias("__which", "__one"))
+    rows = summed(each, [*keys, "__which"], "__one").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__which", "fp"))).alias("__fps"))
+    rows = rows.withColumn("fp", F.col("__fps")[0]["fp"]).withColumn("efp", F.col("__fps")[1]["fp"])
+    rows = rows.withColumn("next_fp", F.lead("fp").over(Window.partitionBy("__r").orderBy("__k"))).where("NOT __guest")
     for name in ("fp", "efp", "next_fp"):
         rows = rows.withColumn(f"z_{name}", centred(F.col(name)))
     return rows.select(
