@@ -199,9 +199,9 @@ def digest(rows: DataFrame, group: list[str], order: list[str], label: Column, m
 
 
 def table_block(points: DataFrame) -> DataFrame:
-    """(study_id, pos, table_id, space, kind) -> per table in first-seen order: index from 1, n, spaces and kinds (sorted, joined)."""
+    """(study_id, pos, table_id, space, kind) -> per table in first-seen order (tables first seen at one place: by table_id): index from 1, n, spaces and kinds (sorted, joined)."""
     t = points.groupBy("study_id", "table_id").agg(F.min("pos").alias("p"), F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("space")), ",").alias("spaces"), F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("kinds"))
-    return t.withColumn("index", F.row_number().over(Window.partitionBy("study_id").orderBy("p"))).drop("p")
+    return t.withColumn("index", F.row_number().over(Window.partitionBy("study_id").orderBy(F.asc_nulls_last("p"), F.asc_nulls_last("table_id")))).drop("p")
 
 
 def first_points(points: DataFrame, group: list[str], order: list[str], label: Column, most: int = 40) -> DataFrame:

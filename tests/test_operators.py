@@ -177,6 +177,13 @@ def test_small_repairs(spark):
     assert pts.count() == 2
 
 
+def test_table_block_order_of_equal_places(spark):
+    rows = [(1, 5, t, f"s{t}", "k") for t in (4, 2, 9, 1, 7, 3)] + [(1, 3, 8, "s8", "k")] + [(2, None, t, "s", "k") for t in (6, 5)] + [(2, 1, 9, "s", "k")]
+    for part in (rows, rows[::-1]):
+        got = R.table_block(spark.createDataFrame(part, "study_id long, pos long, table_id long, space string, kind string")).orderBy("study_id", "index").collect()
+        assert [(r.study_id, r.table_id) for r in got] == [(1, 8), (1, 1), (1, 2), (1, 3), (1, 4), (1, 7), (1, 9), (2, 9), (2, 5), (2, 6)]
+
+
 def test_cycle_and_scope(spark):
     models = spark.createDataFrame([("a",), ("b",)], "model_id string")
     inputs = spark.createDataFrame([("a", "b"), ("b", "a")], "model_id string, input_id string")
