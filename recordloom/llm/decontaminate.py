@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Texts are cut into overlapping passages. A randomised SVD of TF-IDF passages, each
-pass a distributed sum, gives a latent space; every passage of every document is
+Texts are cut into overlapping passages. A randomised SVD of the TF-IDF passages of
+all documents, each pass a distributed sum, gives a latent space; every passage of every document is
 folded into it and searched against the benchmark's passages by cosine. A
 candidate is then read: the longest common subsequence of its words with a piece of
 the item must cover the piece, or cover half of it and hold the item's answer. Where
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ._store import Stash, tidy
-from ._words import U64, lower_table, mix, slices, table, utf8, words as _hashed
+from ._words import U64, lower_table, slices, table, utf8, words as _hashed
 
 #: Vocabulary buckets (a power of two), latent dimensions, extra random ones, power passes.
 BITS, RANK, EXTRA, PASSES = 15, 96, 16, 2
@@ -35,10 +35,12 @@ SHORTEST = 5
 ANSWER = 3
 #: Of a piece without a usable answer one in so many words (ANSWER at least), the rarest, stand for it.
 RARE = 4
-#: The space is fitted on at most so many documents (chosen by a hash of id and text), and so many passages of each (chosen by a hash of their place).
-SAMPLE, SAMPLE_PASSAGES = 2000, 200
-#: Bands of buckets in which sums are added, and tasks that make them: the sample is bounded, so are they.
+#: The benchmark's passages count in the space's fit as much as one passage of each document, and of so many documents at least.
+OWN = 2000
+#: Bands of buckets in which sums are added, and tasks that make them at least: beyond that as many as the session has cores.
 BANDS, TASKS = 16, 8
+#: Passages in one stored cell, and passages that are multiplied at once.
+CELL, TOGETHER = 64, 256
 #: Words whose passages are folded in at once.
 AT_ONCE = 1 << 12
 #: Words are runs of 0-9, a-z and non-ASCII after lower-casing A-Z.
@@ -152,7 +154,7 @@ class Items:
         return _words(*utf8(pa.array([text], pa.string())))[0]
 
     def rows(self) -> np.ndarray:
-        """The passages' buckets, as the sample's are stored."""
+        """The passages' buckets, as the documents' are stored."""
         return _stored(np.concatenate(self.passages), np.concatenate(([0], np.cumsum([len(p) for p in self.passages]))))
 
 
@@ -187,37 +189,43 @@ def _stored(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def sample_passages(texts: DataFrame, stash: Stash, n_docs: float, sample: int, each: int = SAMPLE_PASSAGES) -> DataFrame:
-    """(passages binary): one row for each sampled document, of at most ``sample``; equal rows count once.
+def _scales(ids: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """One over the square of each stored passage's TF-IDF length; idf ends with a zero for the filling."""
+    rows = np.sort(ids, axis=1)
+    flat = rows.ravel()
+    starts = np.flatnonzero(np.concatenate((np.ones((len(rows), 1), bool), rows[:, 1:] != rows[:, :-1]), axis=1))
+    often = np.diff(np.append(starts, len(flat)))
+    norm = np.bincount(starts // rows.shape[1], (often * idf[flat[starts]]) ** 2, minlength=len(rows))
+    return 1.0 / np.where(norm > 0, norm, 1.0)
 
-    Documents below a hash threshold that lets about twice as many through are
-    kept, and the first of them by hash are the sample, so no task or driver orders
-    texts. Of each, the ``each`` passages with the smallest hash of their place.
-    """
-    hashed = texts.select(F.xxhash64("doc_id", "text").alias("h"), "text")
-    if n_docs > 2 * sample:
-        hashed = hashed.where(F.col("h") < F.lit(int(-(1 << 63) + (2 * sample / n_docs) * 2.0**64)))
-    kept = stash.save(hashed.where("text IS NOT NULL").dropDuplicates(["h"]), "sampled")
-    last = kept.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+
+def stored_passages(texts: DataFrame, stash: Stash, idf: np.ndarray) -> DataFrame:
+    """(passages binary, scales binary): every word of every text in one passage of two blocks; a text's last passage may be shorter."""
+    scale = np.append(idf, 0.0)
 
     def run(batches):
         for batch in batches:
             data, at = utf8(batch.column(0))
-            out = []
             for a, b in slices(at, 1 << 18):
                 words, first = _words(data[at[a] : at[b]], at[a : b + 1] - at[a])
-                for row in range(b - a):
-                    own = words[first[row] : first[row + 1]]
-                    starts = np.arange(0, len(own), 2 * BLOCK)
-                    if len(starts) > each:
-                        starts = np.sort(starts[np.argsort(mix(starts.astype(U64) + U64(len(own))))[:each]])
-                    ends = np.minimum(starts + 2 * BLOCK, len(own))
-                    chosen = np.concatenate([own[:0], *(own[s:e] for s, e in zip(starts, ends))])
-                    out.append(_stored(chosen, np.concatenate(([0], np.cumsum(ends - starts)))).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["passages"])
+                count = -(-np.diff(first) // (2 * BLOCK))
+                place = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+                bounds = np.append(np.repeat(first[:-1], count) + 2 * BLOCK * place, len(words))
+                for f in range(0, len(bounds) - 1, 1 << 12):  # a long row a stretch at a time
+                    own = bounds[f : f + (1 << 12) + 1]
+                    ids = _stored(words[own[0] : own[-1]], own - own[0])
+                    scales = _scales(ids, scale).astype(np.float32)
+                    cells = [[x[c : c + CELL].tobytes() for c in range(0, len(x), CELL)] for x in (ids, scales)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in cells], names=["passages", "scales"])
+
+    return stash.save(texts.mapInArrow(run, "passages binary, scales binary"), "passages")
+
 
-    chosen = kept.where(F.col("h") <= F.lit(last if last is not None else 0)).select("text")
-    return stash.save(chosen.mapInArrow(run, "passages binary").where("length(passages) > 0"), "passages")
+def _flat(column: pa.Array, kind: type) -> np.ndarray:
+    """The numbers of all cells of a binary column (without nulls), one after another."""
+    _, offsets, data = column.cast(pa.large_binary()).buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(kind) if data is not None else np.zeros(0, kind)
 
 
 def _basis(parts: list[bytes], turn: np.ndarray, scale: np.ndarray) -> np.ndarray:
@@ -234,13 +242,14 @@ def _start(wide: int, seed: int, known: np.ndarray) -> list[bytes]:
     return [(rng.standard_normal((len(k), wide), np.float32) * k[:, None]).astype(np.float32).tobytes() for k in np.split(known, BANDS)]
 
 
-def _product(sample: DataFrame, parts: list[bytes] | None, turn: np.ndarray, idf: np.ndarray, seed: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """A'A times a basis, for A the sample's normalised TF-IDF passages (weighted), in bands; its Gram matrix, and the one with ``parts``.
+def _product(passages: DataFrame, parts: list[bytes] | None, turn: np.ndarray, idf: np.ndarray, seed: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """A'A times a basis, for A the normalised TF-IDF passages (weighted), in bands; its Gram matrix, and the one with ``parts``.
 
     The basis is ``parts`` times ``turn``; without parts it is random, made by a rule
-    in every task.
+    in every task. A task's sums are as large as the basis, so the passages are read
+    by no more tasks than the session has cores.
     """
-    context = sample.sparkSession.sparkContext
+    context = passages.sparkSession.sparkContext
     shared = context.broadcast(parts)
     known = (idf > 0).astype(np.float32)
     wide = turn.shape[0]
@@ -249,18 +258,18 @@ def _product(sample: DataFrame, parts: list[bytes] | None, turn: np.ndarray, idf
         vectors = _basis(shared.value or _start(wide, seed, known), turn, idf)
         scale = np.append(idf, 0.0).astype(np.float32)
         out = np.zeros((len(vectors), vectors.shape[1]), np.float64)
+        room = np.empty((TOGETHER * 2 * BLOCK, vectors.shape[1]), np.float32)
         for batch in batches:
-            for raw, weight in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                whole = np.frombuffer(raw, np.uint16).reshape(-1, 2 * BLOCK).astype(np.int64)
-                for a in range(0, len(whole), 256):
-                    ids = whole[a : a + 256]
-                    often = (ids[:, :, None] == ids[:, None, :]).sum(axis=2)
-                    norm = (scale[ids] ** 2 * often).sum(axis=1)
-                    z = vectors[ids].sum(axis=1) * (weight / np.where(norm > 0, norm, 1.0))[:, None]
-                    flat = ids.ravel()
-                    order = np.argsort(flat, kind="stable")
-                    starts = np.flatnonzero(np.concatenate(([True], np.diff(flat[order]) > 0)))
-                    out[flat[order][starts]] += np.add.reduceat(z.astype(np.float32)[order // (2 * BLOCK)], starts, axis=0)
+            whole, scales = _flat(batch.column(0), np.uint16), _flat(batch.column(1), np.float32)
+            for a in range(0, len(scales), TOGETHER):
+                flat = whole[a * 2 * BLOCK : (a + TOGETHER) * 2 * BLOCK]
+                got = np.take(vectors, flat, axis=0, out=room[: len(flat)], mode="clip").reshape(-1, 2 * BLOCK, vectors.shape[1])
+                z = np.add.reduce(got, axis=1) * scales[a : a + TOGETHER, None]
+                order = np.argsort(flat, kind="stable")
+                inorder = flat[order]
+                starts = np.flatnonzero(np.concatenate(([True], inorder[1:] != inorder[:-1])))
+                each = np.take(z, order // (2 * BLOCK), axis=0, out=room[: len(flat)], mode="clip")
+                out[inorder[starts]] += np.add.reduceat(each, starts, axis=0)
         out *= scale[:, None]
         bands = [p.astype(np.float32).tobytes() for p in np.split(out[:-1], BANDS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(BANDS), pa.int32()), pa.array(bands, pa.binary())], names=["band", "part"])
@@ -271,30 +280,30 @@ def _product(sample: DataFrame, parts: list[bytes] | None, turn: np.ndarray, idf
         before = np.frombuffer((shared.value or _start(wide, seed, known))[k], np.float32).reshape(-1, wide).astype(np.float64)
         return pa.table({"band": pa.array([k], pa.int32()), "part": pa.array([total.astype(np.float32).tobytes()], pa.binary()), "gram": pa.array([(total.T @ total).tobytes()], pa.binary()), "cross": pa.array([(before.T @ total).tobytes()], pa.binary())})
 
-    rows = sample.repartition(TASKS).mapInArrow(run, "band int, part binary").groupBy("band").applyInArrow(add, "band int, part binary, gram binary, cross binary").collect()  # BANDS rows
+    rows = passages.coalesce(max(TASKS, context.defaultParallelism)).mapInArrow(run, "band int, part binary").groupBy("band").applyInArrow(add, "band int, part binary, gram binary, cross binary").collect()  # BANDS rows
     shared.destroy()
-    tidy(sample.sparkSession)  # the driver keeps no more than the last product
+    tidy(passages.sparkSession)  # the driver keeps no more than the last product
     rows.sort(key=lambda r: r.band)
     sums = [sum(np.frombuffer(r[c], np.float64) for r in rows) for c in ("gram", "cross")]
     return [r.part for r in rows], sums[0].reshape(turn.shape[1], -1), sums[1].reshape(wide, -1)
 
 
-def fit(sample: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 1) -> tuple[list[bytes], np.ndarray]:
+def fit(passages: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 1) -> tuple[list[bytes], np.ndarray]:
     """(bands, turn): the term vectors are the bands' rows times ``turn``, times idf; folding a passage in is the sum of its words' vectors.
 
-    sample: (passages binary, weight double). The bands stay as the tasks wrote them;
+    passages: (passages binary, scales binary). The bands stay as the tasks wrote them;
     orthogonal bases come from Gram matrices of the rank's size.
     """
     wide = min(rank + EXTRA, 1 << BITS)
     parts, turn = None, np.eye(wide)
     for _ in range(PASSES):
-        parts, gram, _ = _product(sample, parts, turn, idf, seed)
+        parts, gram, _ = _product(passages, parts, turn, idf, seed)
         values, axes = np.linalg.eigh(gram)
         keep = values > 1e-10 * max(values.max(), 1e-30)
         turn = axes[:, keep] / np.sqrt(values[keep])  # the bands times this are orthogonal
         if not turn.shape[1]:
             return parts, turn
-    _, _, cross = _product(sample, parts, turn, idf, seed)
+    _, _, cross = _product(passages, parts, turn, idf, seed)
     inner = turn.T @ cross
     values, axes = np.linalg.eigh((inner + inner.T) / 2)
     order = np.argsort(-values)[:rank]
@@ -443,7 +452,7 @@ def _steps(first: int, last: int, step: int) -> list[tuple[int, int]]:
         a = b - BLOCK
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, copied: float = 0.7, reworded: float = 0.5, answered: float = 0.8, sample: int = SAMPLE) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, copied: float = 0.7, reworded: float = 0.5, answered: float = 0.8) -> DataFrame:
     """One row per document and benchmark item that it contains: doc_id, item_id, kind (copy or paraphrase), cosine, overlap, first_word.
 
     The benchmark (item_id, text, and answer if it has that column) is the query set
@@ -475,9 +484,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, co
             idf = np.where(seen[:-1] > 0, 1.0, 0.0)  # a table of one text has no rare words
         with Stash(spark) as stash:
             own = items.rows()
-            weight = float(SAMPLE) / len(own)  # the benchmark's passages too, so that the space keeps what tells items apart
-            rows = sample_passages(texts, stash, seen[-1], sample).withColumn("weight", F.lit(1.0))
-            rows = rows.union(spark.createDataFrame([(bytearray(own.tobytes()), weight)], "passages binary, weight double"))
+            scales = (max(OWN, seen[-1]) / len(own)) * _scales(own, np.append(idf, 0.0))  # the benchmark's passages too, so that the space keeps what tells items apart
+            rows = stored_passages(texts.select("text"), stash, idf)
+            rows = rows.union(spark.createDataFrame([(bytearray(own.tobytes()), bytearray(scales.astype(np.float32).tobytes()))], "passages binary, scales binary"))
             parts, turn = fit(rows, idf)
         if not turn.shape[1]:
             items.passages = []
