@@ -40,7 +40,7 @@ OWN = 2000
 #: Bands of buckets in which sums are added, and tasks that make them at least: beyond that as many as the session has cores.
 BANDS, TASKS = 16, 8
 #: Passages in one stored cell, and passages that are multiplied at once.
-CELL, TOGETHER = 64, 256
+CELL, TOGETHER = 64, 1 << 15
 #: Words whose passages are folded in at once.
 AT_ONCE = 1 << 12
 #: Words are runs of 0-9, a-z and non-ASCII after lower-casing A-Z.
@@ -68,12 +68,7 @@ def _passages(words: np.ndarray, first: np.ndarray, vectors: np.ndarray) -> tupl
     begin = np.cumsum(blocks) - blocks
     padded = np.full(int(blocks.sum()) * BLOCK, len(vectors) - 1, np.int64)  # the last vector is zero
     padded[np.arange(len(words)) + np.repeat(begin * BLOCK - first[:-1], np.diff(first))] = _buckets(words)
-    sums = np.empty((len(padded) // BLOCK, vectors.shape[1]), np.float32)
-    room = np.empty((min(AT_ONCE, len(padded)), vectors.shape[1]), np.float32)
-    for a in range(0, len(padded), AT_ONCE):  # few enough to stay in the cache
-        ids = padded[a : a + AT_ONCE]
-        got = np.take(vectors, ids, axis=0, out=room[: len(ids)], mode="clip").reshape(-1, BLOCK, vectors.shape[1])
-        np.add.reduce(got, axis=1, out=sums[a // BLOCK : (a + len(ids)) // BLOCK])
+    sums = _row_sums(vectors, padded, BLOCK)
     row = np.repeat(np.arange(len(blocks)), blocks)
     place = np.arange(len(row)) - np.repeat(begin, blocks)
     follows = place + 1 < blocks[row]
@@ -228,6 +223,37 @@ def _flat(column: pa.Array, kind: type) -> np.ndarray:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(kind) if data is not None else np.zeros(0, kind)
 
 
+def _row_sums(rows: np.ndarray, ids: np.ndarray, width: int) -> np.ndarray:
+    """Sums of ``width`` rows at a time, in the order of ids."""
+    out = np.empty((len(ids) // width, rows.shape[1]), np.float32)
+    room = np.empty((min(AT_ONCE, len(ids)), rows.shape[1]), np.float32)
+    for a in range(0, len(ids), AT_ONCE):  # few enough to stay in the cache
+        part = ids[a : a + AT_ONCE]
+        got = np.take(rows, part, axis=0, out=room[: len(part)], mode="clip").reshape(-1, width, rows.shape[1])
+        np.add.reduce(got, axis=1, out=out[a // width : (a + len(part)) // width])
+    return out
+
+
+def _sums_by(flat: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, sums): for each bucket of the passages' the sum of z over its places. Eight rows of a bucket are added at a time until one is left, which is much faster than reduceat on rows."""
+    order = np.argsort(flat, kind="stable")
+    keys, ids, done = flat[order], order // (2 * BLOCK), []
+    while True:
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        size = np.diff(np.append(first, len(keys)))
+        blocks = -(-size // 8)
+        begin = np.cumsum(blocks) - blocks
+        padded = np.full(int(blocks.sum()) * 8, len(z), np.int64)  # a row of zeros
+        padded[np.arange(len(keys)) + np.repeat(begin * 8 - first, size)] = ids
+        z = _row_sums(np.concatenate((z, np.zeros((1, z.shape[1]), z.dtype))), padded, 8)
+        keys = np.repeat(keys[first], blocks)
+        ready = np.repeat(blocks == 1, blocks)
+        done.append((keys[ready], z[ready]))
+        if ready.all():
+            return tuple(np.concatenate(x) for x in zip(*done))
+        keys, ids = keys[~ready], np.flatnonzero(~ready)
+
+
 def _basis(parts: list[bytes], turn: np.ndarray, scale: np.ndarray) -> np.ndarray:
     """The bands' rows times a small matrix, scaled; one row of zeros more."""
     whole = np.concatenate([np.frombuffer(p, np.float32).reshape(-1, len(turn)) for p in parts])
@@ -258,18 +284,13 @@ def _product(passages: DataFrame, parts: list[bytes] | None, turn: np.ndarray, i
         vectors = _basis(shared.value or _start(wide, seed, known), turn, idf)
         scale = np.append(idf, 0.0).astype(np.float32)
         out = np.zeros((len(vectors), vectors.shape[1]), np.float64)
-        room = np.empty((TOGETHER * 2 * BLOCK, vectors.shape[1]), np.float32)
         for batch in batches:
             whole, scales = _flat(batch.column(0), np.uint16), _flat(batch.column(1), np.float32)
             for a in range(0, len(scales), TOGETHER):
                 flat = whole[a * 2 * BLOCK : (a + TOGETHER) * 2 * BLOCK]
-                got = np.take(vectors, flat, axis=0, out=room[: len(flat)], mode="clip").reshape(-1, 2 * BLOCK, vectors.shape[1])
-                z = np.add.reduce(got, axis=1) * scales[a : a + TOGETHER, None]
-                order = np.argsort(flat, kind="stable")
-                inorder = flat[order]
-                starts = np.flatnonzero(np.concatenate(([True], inorder[1:] != inorder[:-1])))
-                each = np.take(z, order // (2 * BLOCK), axis=0, out=room[: len(flat)], mode="clip")
-                out[inorder[starts]] += np.add.reduceat(each, starts, axis=0)
+                z = _row_sums(vectors, flat, 2 * BLOCK) * scales[a : a + TOGETHER, None]
+                buckets, sums = _sums_by(flat, z)
+                out[buckets] += sums
         out *= scale[:, None]
         bands = [p.astype(np.float32).tobytes() for p in np.split(out[:-1], BANDS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(BANDS), pa.int32()), pa.array(bands, pa.binary())], names=["band", "part"])
