@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -53,9 +54,31 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def tidy(spark: SparkSession) -> None:
-    """Has the driver's JVM collect its garbage: the files of finished shuffles and broadcasts go with the objects that stand for them, and the heap shrinks."""
-    spark.sparkContext._jvm.System.gc()
+def tidy(spark: SparkSession) -> bool:
+    """Has the driver's JVM collect its garbage: the files of finished shuffles and broadcasts go with the objects that stand for them, and the heap shrinks.
+
+    What its compilers and buffers have freed goes back to the system too, where the
+    JVM can do that (HotSpot on Linux); the C library would keep it. Whether it did is
+    returned.
+    """
+    jvm = spark.sparkContext._jvm
+    jvm.System.gc()
+    try:
+        kind = jvm.java.lang.Class.forName
+        names = ["javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;"]
+        types, args = _array(spark, jvm.java.lang.Class, len(names)), _array(spark, jvm.java.lang.Object, len(names))
+        for k, name in enumerate(names):
+            types[k] = kind(name)
+        args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        # through the interface: the server's class isn't open to callers
+        kind("javax.management.MBeanServerConnection").getMethod("invoke", types).invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+        return True
+    except Py4JError:
+        return False
+
+
+def _array(spark: SparkSession, kind, n: int):
+    return spark.sparkContext._gateway.new_array(kind, n)
 
 
 def delete_at_end(spark: SparkSession, path: str) -> None:

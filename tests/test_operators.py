@@ -255,6 +255,12 @@ def test_readers(spark, tmp_path):
         readers.read_schema({"a": {"imports": ["z"]}}.get, "a")
 
 
+def test_tidy_returns_native_memory(spark):
+    from recordloom.session import tidy
+
+    assert tidy(spark) is True
+
+
 def test_sinks_and_stream(spark, tmp_path):
     df = spark.createDataFrame([(1, "é"), (2, "b")], "id long, v string")
     sinks.write_checked(df, str(tmp_path / "c"))
